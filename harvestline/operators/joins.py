@@ -1,0 +1,23 @@
+"""Join with a side that is probably small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+
+
+def join_checked(
+    large: DataFrame, small: DataFrame, on: list[str], max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Inner join that broadcasts ``small`` only after counting it.
+
+    Size estimates do not see how many rows an ``explode`` makes, so a side built
+    by one could be broadcast by mistake. Counting stops past ``max_rows``;
+    beyond it both sides are shuffled, where a skewed partition of the large
+    side is split at run time.
+    """
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return large.join(F.broadcast(small), on)
+    return large.join(small.hint("merge"), on)

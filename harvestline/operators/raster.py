@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from harvestline.functions.geometry import MODIS_GRID, RasterGrid, ring_edges
 from harvestline.functions.numeric import NDVI_NODATA, NDVI_SCALE, scale_ndvi, stable_round
+from harvestline.operators.joins import join_checked
 
 
 def raster_pixels(lines: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def zonal_stats(
     Sums are of whole numbers and exact. A zone without a valid pixel on a tile
     has no row. The per-tile means feed ``zonal_ndvi`` as samples.
     """
-    inside = lines.join(zone_runs(zones, grid), ["tile_h", "tile_v", "line"]).select(
+    inside = join_checked(lines, zone_runs(zones, grid), ["tile_h", "tile_v", "line"]).select(
         "county_id",
         "tile_h",
         "tile_v",

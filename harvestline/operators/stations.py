@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +12,11 @@ from harvestline.operators.keyed import first_per_key
 UNKNOWN_COUNTRY = "??"
 ANY_COUNTRY = "*"
 
-# Cell sides in degrees, each an eighth of the one before. Inventory coordinates
+# Cells have sides of 45 degrees, 45/16, 45/256 and 45/4096. Inventory coordinates
 # have three decimals, so the smallest cell holds at most 11 x 11 places.
-CELL_SIDES = tuple(45.0 / 8**level for level in range(5))
+LEVELS = 4
+SHRINK = 16
+SMALLEST_CELL = 45.0 / SHRINK ** (LEVELS - 1)
 
 
 def parse_inventory(inventory: DataFrame) -> DataFrame:
@@ -80,16 +80,23 @@ def _square(c: Column) -> Column:
     return c * c
 
 
-def _cell(side: float) -> Column:
-    return F.struct(
-        F.floor((F.col("lat") + 90) / side).alias("row"),
-        F.floor((F.col("lon") + 180) / side).alias("col"),
+def _cell(side: float) -> dict[str, Column]:
+    return {
+        "row": F.floor((F.col("lat") + 90) / side),
+        "col": F.floor((F.col("lon") + 180) / side),
+    }
+
+
+def _with_parent(boxes: DataFrame) -> DataFrame:
+    return boxes.withColumns(
+        {
+            "parent_row": F.floor(F.col("row") / SHRINK),
+            "parent_col": F.floor(F.col("col") / SHRINK),
+        }
     )
 
 
-def nearest_station(
-    regions: DataFrame, stations: DataFrame, sides: Sequence[float] = CELL_SIDES
-) -> DataFrame:
+def nearest_station(regions: DataFrame, stations: DataFrame) -> DataFrame:
     """Nearest station of every region, by squared degree distance.
 
     ``regions``: county_id, country (station code), lat, lon.
@@ -98,9 +105,10 @@ def nearest_station(
     go to the lowest station id.
 
     Exact without pairing regions and stations: stations are summed up into
-    boxes over ever smaller cells, and each step keeps only the boxes that may
-    still hold the nearest one (their closest point is no farther than the
-    farthest point of some other box). Stations on one spot count once.
+    boxes over cells of four sizes. From the largest cells down, each step keeps
+    only the boxes that may still hold the nearest station (their closest point
+    is no farther than the farthest point of some other box). A country has at
+    most 45 of the largest cells, and stations on one spot count once.
     """
     station_set = stations.withColumn("country", F.explode(F.array("country", F.lit(ANY_COUNTRY))))
     places = station_set.groupBy("country", "lat", "lon").agg(
@@ -114,35 +122,42 @@ def nearest_station(
         F.col("lon").alias("rlon"),
     )
 
-    levels = [_boxes(places, sides, depth) for depth in range(len(sides))]
-    frontier = _closest_boxes(origin.join(levels[0], "country"))
-    for depth in range(1, len(sides)):
-        parents = frontier.select("county_id", "rlat", "rlon", "country", "cell")
-        children = levels[depth]
-        joined = parents.withColumnRenamed("cell", "parent").join(children, ["country", "parent"])
-        frontier = _closest_boxes(joined)
+    placed = places.withColumns(_cell(SMALLEST_CELL))
+    levels = [
+        placed.groupBy("country", "row", "col").agg(
+            F.min("lat").alias("south"),
+            F.max("lat").alias("north"),
+            F.min("lon").alias("west"),
+            F.max("lon").alias("east"),
+        )
+    ]
+    for _ in range(LEVELS - 1):
+        levels.append(_merge_boxes(levels[-1]))
+
+    boxes = levels.pop()
+    frontier = _closest_boxes(origin.join(boxes, "country"))
+    for boxes in reversed(levels):
+        parents = frontier.withColumnsRenamed({"row": "parent_row", "col": "parent_col"})
+        inner = parents.join(_with_parent(boxes), ["country", "parent_row", "parent_col"])
+        frontier = _closest_boxes(inner.drop("parent_row", "parent_col"))
 
-    last = places.withColumn("cell", _cell(sides[-1]))
     distance = _square(F.col("rlat") - F.col("lat")) + _square(F.col("rlon") - F.col("lon"))
-    candidates = frontier.join(last, ["country", "cell"]).select(
+    candidates = frontier.join(placed, ["country", "row", "col"]).select(
         "county_id", "station_id", distance.alias("distance")
     )
     return first_per_key(candidates, ["county_id"], ["distance", "station_id"])
 
 
-def _boxes(places: DataFrame, sides: Sequence[float], depth: int) -> DataFrame:
-    """Envelope of the stations in every cell of a level, with its parent cell."""
-    keys = {"cell": _cell(sides[depth])}
-    if depth:
-        keys["parent"] = _cell(sides[depth - 1])
+def _merge_boxes(boxes: DataFrame) -> DataFrame:
+    """Boxes of the next larger cells."""
     return (
-        places.withColumns(keys)
-        .groupBy("country", *keys)
+        _with_parent(boxes)
+        .groupBy("country", F.col("parent_row").alias("row"), F.col("parent_col").alias("col"))
         .agg(
-            F.min("lat").alias("south"),
-            F.max("lat").alias("north"),
-            F.min("lon").alias("west"),
-            F.max("lon").alias("east"),
+            F.min("south").alias("south"),
+            F.max("north").alias("north"),
+            F.min("west").alias("west"),
+            F.max("east").alias("east"),
         )
     )
 

@@ -130,5 +130,5 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
     )
     hits = wanted.join(first, ["whole", "text"])
     return first_per_key(hits, ["county_id"], ["tier"]).select(
-        "county_id", "region", "tier", F.col("name").alias("matched")
+        "county_id", "region", "tier", F.col("name").alias("matched"), "ord"
     )

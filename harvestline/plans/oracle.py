@@ -377,7 +377,7 @@ ORACLE: dict[str, str] = {
     "region_match": _with(MATCH)
     + """SELECT county_id, region, tier,
         upper(split_part(p_name, ' ', 1)[1]) || split_part(p_name, ' ', 1)[2:] || ' '
-          || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS matched
+          || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS matched, p_partkey AS ord
         FROM ordered WHERE nth = 1""",
     "spread_yields": _with(YIELDS, COUNTIES)
     + f""", home AS (
