@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 def signature(features: DataFrame, yields: DataFrame) -> DataFrame:
     """``rows_sum_rows_sum`` of features and yields, NULL sums as 0.
 
-    Both inputs are reduced to one row in the same aggregate.
+    Both measures have four decimals and are added up as whole ten-thousandths:
+    the text must not change with the order of a floating sum. Both inputs are
+    reduced to one row in the same aggregate.
     """
-    both = features.select(F.lit(0).alias("side"), F.col("avg_ndvi").cast("double").alias("v"))
-    both = both.unionByName(
-        yields.select(F.lit(1).alias("side"), F.col("yield_mt_ha").cast("double").alias("v"))
-    )
+
+    def measure(df, side, column):
+        parts = F.round(F.col(column).cast("double") * 10000).try_cast("bigint")
+        return df.select(F.lit(side).alias("side"), parts.alias("v"))
+
+    both = measure(features, 0, "avg_ndvi").unionByName(measure(yields, 1, "yield_mt_ha"))
 
     def count(side):
         return F.count_if(F.col("side") == side)
 
     def total(side):
-        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("v"))), F.lit(0.0))
+        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("v"))), F.lit(0)) / 10000
 
     return both.agg(
         F.format_string("%d_%.4f_%d_%.4f", count(0), total(0), count(1), total(1)).alias(

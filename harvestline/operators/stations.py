@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestline.functions.numeric import coerce_double, coerce_int
 from harvestline.operators.cleaning import require, trim_columns
+from harvestline.operators.joins import join_checked
 from harvestline.operators.keyed import first_per_key
 
 UNKNOWN_COUNTRY = "??"
@@ -182,7 +183,10 @@ def _closest_boxes(pairs: DataFrame) -> DataFrame:
 
 
 def assign_observations(obs: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Observations of a station, once for every region mapped to it."""
-    return obs.join(mapping.select("county_id", "station_id"), "station_id").select(
+    """Observations of a station, once for every region mapped to it.
+
+    The mapping has one row per region and is counted, so hand in a stored one.
+    """
+    return join_checked(obs, mapping.select("county_id", "station_id"), ["station_id"]).select(
         "county_id", "date", "temp_c", "precip_mm"
     )

@@ -84,8 +84,9 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
     contains the region's, then the first that contains its first word.
 
     Containment is an equality join on the substrings of a name, not a loop over
-    pairs. Each wanted text keeps its first name only, before regions meet it.
-    Names are place names of at most 100 characters.
+    pairs; only substrings as long as some wanted text are made. Each wanted text
+    keeps its first name only, before regions meet it. Names are place names of
+    at most 100 characters.
     """
     wanted = regions.select(
         "county_id",
@@ -102,18 +103,20 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
         ).alias("tier", "probe"),
     ).select("county_id", "region", (F.col("tier") + 1).alias("tier"), "probe.*")
 
+    texts = wanted.select("whole", "text").distinct()
+    sizes = texts.filter(~F.col("whole")).agg(F.collect_set(F.length("text"))).scalar()
     text = F.lower("name")
     length = F.length(text)
     pieces = F.flatten(
         F.transform(
             F.sequence(F.lit(1), length),
             lambda start: F.transform(
-                F.sequence(F.lit(1), length - start + 1),
+                F.filter("sizes", lambda size: size <= length - start + 1),
                 lambda size: F.substring(text, start, size),
             ),
         )
     )
-    named = names.filter(length > 0)
+    named = names.filter(length > 0).withColumn("sizes", sizes)
     offered = named.select(
         "name", "ord", F.lit(True).alias("whole"), text.alias("text")
     ).unionByName(
@@ -124,7 +127,6 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
             F.explode(F.array_distinct(pieces)).alias("text"),
         )
     )
-    texts = wanted.select("whole", "text").distinct()
     first = first_per_key(
         offered.join(texts, ["whole", "text"], "left_semi"), ["whole", "text"], ["ord", "name"]
     )

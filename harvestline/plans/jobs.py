@@ -23,6 +23,7 @@ from harvestline.functions.numeric import coerce_double
 from harvestline.ml import yield_model
 from harvestline.operators import features, keyed, metrics, raster, sets, stations, weather, yields
 from harvestline.operators.cleaning import require
+from harvestline.session import stored
 from harvestline.sources import files, tables
 
 # The regions of interest by country.
@@ -91,14 +92,15 @@ def prepare_weather(consolidated: DataFrame, counties: DataFrame) -> DataFrame:
         F.col("c.y").alias("lat"),
         F.col("c.x").alias("lon"),
     )
-    mapping = stations.nearest_station(centres, stations.unique_stations(placed))
+    nearest = stations.nearest_station(centres, stations.unique_stations(placed))
+    mapping = stored(nearest, "station-mapping")
     return stations.assign_observations(placed, mapping)
 
 
 def prepare_yields(
     fao: DataFrame,
     counties: DataFrame,
-    stored: DataFrame,
+    current: DataFrame,
     areas: dict[str, str] = FAO_COUNTRY,
 ) -> DataFrame:
     """Yield table with the regional yields that were not stored yet.
@@ -112,9 +114,9 @@ def prepare_yields(
         national, ["country", "crop", "year"], ["area", "item", "yield_mt_ha"]
     )
     fresh = yields.spread_yields(first, counties).withColumn(
-        "yield_mt_ha", F.col("yield_mt_ha").cast(stored.schema["yield_mt_ha"].dataType)
+        "yield_mt_ha", F.col("yield_mt_ha").cast(current.schema["yield_mt_ha"].dataType)
     )
-    return keyed.insert_absent(stored, fresh, ["county_id", "crop", "year"], ["yield_mt_ha"])
+    return keyed.insert_absent(current, fresh, ["county_id", "crop", "year"], ["yield_mt_ha"])
 
 
 def prepare_ndvi(
@@ -147,7 +149,7 @@ def run_batch(spark: SparkSession, obs: DataFrame, samples: DataFrame, out: str)
 # --- training ----------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, out: str, collection: str) -> DataFrame | None:
+def _documents(spark: SparkSession, out: str, collection: str) -> DataFrame | None:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{collection}")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
@@ -164,7 +166,7 @@ def run_training(
     """Train, score and store the results; False if the inputs have not changed."""
     current = metrics.signature(feature_table, yield_table)
     names = ("model_metadata", "yield_predictions", "cv_results", "feature_importance")
-    metadata, *results = [_stored(spark, out, n) for n in names]
+    metadata, *results = [_documents(spark, out, n) for n in names]
     if metadata is not None and all(r is not None for r in results):
         if metrics.should_skip(metadata, current, results, MODEL_KIND):
             return False
@@ -181,7 +183,9 @@ def run_training(
     files.write_documents(yield_model.importance_table(trained), f"{out}/feature_importance")
     files.write_documents(yield_model.predict_all(trained, data), f"{out}/yield_predictions")
     # The signature goes last: a run that fails before this trains again.
-    files.write_documents(
-        current.select(F.lit(MODEL_KIND).alias("type"), "signature"), f"{out}/model_metadata"
+    files.upsert_documents(
+        current.select(F.lit(MODEL_KIND).alias("type"), "signature"),
+        f"{out}/model_metadata",
+        "type",
     )
     return True

@@ -24,7 +24,7 @@ from harvestline.operators import (
 )
 from harvestline.plans import bindings as b
 from harvestline.plans import serve
-from harvestline.session import scratch_path
+from harvestline.session import scratch_path, stored
 from harvestline.sources import files, tables
 from harvestline.streaming import daily, spool
 
@@ -321,7 +321,8 @@ def nearest_station(spark, d):
 
 @query
 def assign_observations(spark, d):
-    return stations.assign_observations(b.station_obs(spark, d), nearest_station(spark, d))
+    mapping = stored(nearest_station(spark, d), "station-mapping")
+    return stations.assign_observations(b.station_obs(spark, d), mapping)
 
 
 @query
@@ -672,9 +673,7 @@ def ingest_counters(spark, d):
 
 
 def _stored_training(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "training")
-    training(spark, d).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(training(spark, d), "training")
 
 
 @query

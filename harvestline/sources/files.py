@@ -107,8 +107,22 @@ def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def upsert_documents(df: DataFrame, path: str, key: str) -> None:
+    """Replace the documents of the keys in ``df``, keep those of other keys.
+
+    Meant for a key with few values, each of which has its own folder.
+    """
+    (
+        df.write.mode("overwrite")
+        .partitionBy(key)
+        .option("partitionOverwriteMode", "dynamic")
+        .json(path)
+    )
+
+
 def read_documents(
     spark: SparkSession, path: str, collection: str | None = None, schema: StructType | None = None
 ) -> DataFrame:
     """Documents of a named result collection, or of any under a given schema."""
-    return spark.read.schema(schema or schemas.DOCUMENT_SCHEMAS[collection]).json(path)
+    fields = schema or schemas.DOCUMENT_SCHEMAS[collection]
+    return spark.read.schema(fields).json(path).select(*fields.names)

@@ -115,7 +115,7 @@ ZONES = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
 def test_zonal_stats_equal_brute_force(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(raster.join_checked, "__defaults__", (broadcast_rows,))
     lines, pixels = random_lines(1)

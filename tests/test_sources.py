@@ -118,6 +118,16 @@ def test_documents_are_replaced(spark, tmp_path):
     assert rows(files.read_documents(spark, path, "cv_results")) == [(20, 4, 1.5, True)]
 
 
+def test_document_upsert_keeps_other_keys(spark, tmp_path):
+    path = str(tmp_path / "meta")
+    for kind, signature in (("forest", "a"), ("other", "b"), ("forest", "c")):
+        document = spark.createDataFrame([(kind, signature)], schemas.MODEL_METADATA)
+        files.upsert_documents(document, path, "type")
+    assert rows(files.read_documents(spark, path, "model_metadata")) == [
+        ("forest", "c"), ("other", "b"),
+    ]
+
+
 def test_warehouse_table_is_replaced(spark, tmp_path):
     path = str(tmp_path / "orc")
     for temp in (1.0, 2.0):
