@@ -1 +1 @@
-""""""
+"""Yield model on MLlib."""

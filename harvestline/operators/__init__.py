@@ -1 +1 @@
-""""""
+"""DataFrame transformations, one module per subject."""

@@ -1 +1 @@
-""""""
+"""Structured Streaming queries."""
