@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,8 +133,17 @@ def prepare_ndvi(
 # --- batch features ----------------------------------------------------------
 
 
-def run_batch(spark: SparkSession, obs: DataFrame, samples: DataFrame, out: str) -> DataFrame:
-    """Zonal means, weather composites and the feature table, each stored under ``out``."""
+def run_batch(
+    spark: SparkSession,
+    obs: DataFrame,
+    samples: DataFrame,
+    out: str,
+    relational: tables.JdbcTable | None = None,
+) -> DataFrame:
+    """Zonal means, weather composites and the feature table, each stored under ``out``.
+
+    ``relational`` names a database table that gets the features as well.
+    """
     features.zonal_ndvi(samples).write.mode("overwrite").parquet(f"{out}/zonal_ndvi")
     ndvi = spark.read.parquet(f"{out}/zonal_ndvi")
     keyed.write_kv(keyed.to_kv(ndvi), f"{out}/ndvi_time_series")
@@ -143,17 +153,27 @@ def run_batch(spark: SparkSession, obs: DataFrame, samples: DataFrame, out: str)
 
     table = features.add_lags(features.join_features(indices, ndvi))
     table.write.mode("overwrite").parquet(f"{out}/yield_features")
-    return spark.read.parquet(f"{out}/yield_features")
+    stored_features = spark.read.parquet(f"{out}/yield_features")
+    if relational:
+        tables.write_table(stored_features, relational)
+    return stored_features
+
+
+def export_table(spark: SparkSession, source: tables.JdbcTable, path: str) -> None:
+    """A relational table as CSV files without header."""
+    files.export_csv(tables.read_table(spark, source), path)
 
 
 # --- training ----------------------------------------------------------------
 
 
 def _documents(spark: SparkSession, out: str, collection: str) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{collection}")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return files.read_documents(spark, f"{out}/{collection}", collection)
+    try:
+        return files.read_documents(spark, f"{out}/{collection}", collection)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def run_training(
@@ -162,8 +182,13 @@ def run_training(
     yield_table: DataFrame,
     out: str,
     use_cross_validation: bool = True,
+    relational: tables.JdbcTable | None = None,
 ) -> bool:
-    """Train, score and store the results; False if the inputs have not changed."""
+    """Train, score and store the results; False if the inputs have not changed.
+
+    ``relational`` names a database table that gets the predictions as well and
+    keeps its constraints.
+    """
     current = metrics.signature(feature_table, yield_table)
     names = ("model_metadata", "yield_predictions", "cv_results", "feature_importance")
     metadata, *results = [_documents(spark, out, n) for n in names]
@@ -182,6 +207,9 @@ def run_training(
         )
     files.write_documents(yield_model.importance_table(trained), f"{out}/feature_importance")
     files.write_documents(yield_model.predict_all(trained, data), f"{out}/yield_predictions")
+    if relational:
+        scores = files.read_documents(spark, f"{out}/yield_predictions", "yield_predictions")
+        tables.write_table(scores.drop("prediction_date"), relational, truncate=True)
     # The signature goes last: a run that fails before this trains again.
     files.upsert_documents(
         current.select(F.lit(MODEL_KIND).alias("type"), "signature"),

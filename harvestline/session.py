@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -47,9 +48,12 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="harvestline-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="harvestline-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from harvestline import schemas
 from harvestline.operators.cleaning import clean_stream
@@ -15,6 +15,13 @@ from harvestline.operators.weather import daily_summary
 MAX_FILES_PER_TRIGGER = 10
 VERSIONS = 3
 EPOCH = "epoch"
+STORED = StructType(
+    [
+        StructField("key", StringType()),
+        *schemas.DAILY_SUMMARY.fields,
+        StructField(EPOCH, LongType()),
+    ]
+)
 
 
 def stream_observations(
@@ -53,11 +60,7 @@ def upsert_batch(path: str):
 
 def read_versions(spark: SparkSession, path: str, n: int = VERSIONS) -> DataFrame:
     """The ``n`` newest versions of every key."""
-    stored = StructType(
-        to_kv(spark.createDataFrame([], schemas.DAILY_SUMMARY)).schema.fields
-        + [StructField(EPOCH, LongType())]
-    )
-    return keep_versions(spark.read.schema(stored).parquet(path), ["key"], [EPOCH], n)
+    return keep_versions(spark.read.schema(STORED).parquet(path), ["key"], [EPOCH], n)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:

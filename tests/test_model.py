@@ -1,7 +1,5 @@
 """Model and end-to-end jobs."""
 
-import datetime as dt
-import math
 import random
 
 import pytest

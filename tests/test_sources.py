@@ -2,9 +2,10 @@
 
 import datetime as dt
 import glob
+import os
+from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
 
 from harvestline import schemas
 from harvestline.session import scratch_path, scratch_root
@@ -166,16 +167,19 @@ def test_scratch_paths_lie_in_the_shared_folder(spark, monkeypatch):
     assert one.startswith(root) and one != two
 
 
-def test_a_cluster_without_shared_folder_is_an_error():
-    class Context:
-        master = "spark://host:7077"
+class UnsetSession:
+    """A session on some master whose checkpoint folder is not set."""
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
+    def __init__(self, master):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda key, default=None: default)
 
-    class Session:
-        conf, sparkContext = Conf(), Context()
 
+def test_a_cluster_without_shared_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_root(Session())
+        scratch_root(UnsetSession("spark://host:7077"))
+
+
+def test_a_local_session_may_use_a_local_folder():
+    root = scratch_root(UnsetSession("local[2]"))
+    assert os.path.isdir(root) and scratch_root(UnsetSession("local[2]")) == root

@@ -115,7 +115,7 @@ def test_counters(spark, folders):
     incoming = spool.stream_spool(spark, folders["inbox"], max_files=1)
     query = spool.start_relay(incoming, folders["target"], folders["checkpoint"])
     daily.run(query)
-    assert spool.ingest_counters(query) == {"batches": 2, "records_in": 12, "records_out": 12}
+    assert spool.ingest_counters(query) == {"files": 2, "records_in": 12, "records_out": 12}
 
 
 def test_finished_files_are_archived(spark, folders):
