@@ -57,9 +57,9 @@ def to_kv(df: DataFrame, entity: str = "county_id", day: str = "date") -> DataFr
     return df.select(kv_key(F.col(entity), F.col(day)).alias("key"), *df.columns)
 
 
-def kv_get(df: DataFrame, key: str) -> DataFrame:
-    """Row of one key. On a stored table the equality reaches the file scan."""
-    return df.filter(F.col("key") == key)
+def kv_get(df: DataFrame, *wanted: str) -> DataFrame:
+    """Rows of the given keys. On a stored table the condition reaches the file scan."""
+    return df.filter(F.col("key").isin(*wanted))
 
 
 def kv_prefix_scan(df: DataFrame, entity: int | str, *values: str) -> DataFrame:
@@ -89,6 +89,7 @@ def write_kv(df: DataFrame, path: str, buckets: int = 64, mode: str = "overwrite
     )
 
 
-def stored_entity(df: DataFrame, entity: int | str, buckets: int = 64) -> DataFrame:
-    """The one bucket of a ``write_kv`` table that can hold the entity."""
-    return df.filter(F.col(BUCKET) == bucket_of(F.lit(str(entity)), buckets)).drop(BUCKET)
+def stored_entities(df: DataFrame, *entities: int | str, buckets: int = 64) -> DataFrame:
+    """The buckets of a ``write_kv`` table that can hold the entities."""
+    wanted = [bucket_of(F.lit(str(e)), buckets) for e in entities]
+    return df.filter(F.col(BUCKET).isin(*wanted)).drop(BUCKET)

@@ -24,6 +24,7 @@ from harvestline.functions.numeric import coerce_double
 from harvestline.ml import yield_model
 from harvestline.operators import features, keyed, metrics, raster, sets, stations, weather, yields
 from harvestline.operators.cleaning import require
+from harvestline.operators.joins import join_checked
 from harvestline.session import stored
 from harvestline.sources import files, tables
 
@@ -123,9 +124,13 @@ def prepare_yields(
 def prepare_ndvi(
     lines: DataFrame, counties: DataFrame, seen: DataFrame, grid: RasterGrid = MODIS_GRID
 ) -> DataFrame:
-    """Vegetation samples per region, tile and date from raster files not seen before."""
+    """Vegetation samples per region, tile and date from raster files not seen before.
+
+    New files are found from the file names alone, before any line is read.
+    """
     zones = counties.select("county_id", project_geometry(F.col("geom")).alias("geom"))
-    return raster.zonal_stats(sets.unseen(lines, seen, "file"), zones, grid).select(
+    new = sets.unseen(lines.select("file").distinct(), seen, "file")
+    return raster.zonal_stats(join_checked(lines, new, ["file"]), zones, grid).select(
         "county_id", "date", F.lit(0).alias("pixel_x"), F.lit(0).alias("pixel_y"), "ndvi"
     )
 

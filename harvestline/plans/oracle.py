@@ -261,6 +261,10 @@ hits AS (
 ordered AS (
   SELECT *, row_number() OVER (PARTITION BY county_id ORDER BY tier, p_partkey) AS nth FROM hits)"""
 
+SIGNATURE = """printf('%d_%.4f_%d_%.4f', (SELECT count(*) FROM lagged),
+        (SELECT coalesce(sum(avg_ndvi), 0) FROM lagged), (SELECT count(*) FROM yields),
+        (SELECT coalesce(sum(yield_mt_ha), 0) FROM yields)) AS signature"""
+
 ORACLE: dict[str, str] = {
     "weather_clean_batch": _with(OBS, CLEAN) + "SELECT county_id, date, temp_c, precip_mm FROM clean",
     "weather_clean_stream_rules": _with(STREAM_OBS, CLEAN_STREAM)
@@ -287,10 +291,8 @@ ORACLE: dict[str, str] = {
     + f"""SELECT county_id, {_r('avg(temp_c)', 6)} AS mean_temp_c,
         {_r('sum(precip_mm)', 6)} AS sum_precip_mm FROM obs GROUP BY 1""",
     "daily_summary": _with(STREAM_OBS, CLEAN_STREAM, DAILY) + "SELECT * FROM daily",
-    "signature": _with(*FEATURES, YIELDS)
-    + """SELECT printf('%d_%.4f_%d_%.4f', (SELECT count(*) FROM lagged),
-        (SELECT coalesce(sum(avg_ndvi), 0) FROM lagged), (SELECT count(*) FROM yields),
-        (SELECT coalesce(sum(yield_mt_ha), 0) FROM yields)) AS signature""",
+    "signature": _with(*FEATURES, YIELDS) + f"SELECT {SIGNATURE}",
+    "training_skip": _with(*FEATURES, YIELDS) + f"SELECT {SIGNATURE}, true AS skip",
     "regression_metrics": _with(PREDICTIONS)
     + f"""SELECT count(*) AS n,
         {_r('sqrt(avg((actual_yield - predicted_yield) ** 2))', 6)} AS rmse,

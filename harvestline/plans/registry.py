@@ -157,6 +157,18 @@ def signature(spark, d):
     return metrics.signature(feature_table(spark, d), b.yields(spark, d))
 
 
+@query
+def training_skip(spark, d):
+    """Decision not to train again right after the signature was stored."""
+    current = signature(spark, d)
+    path = scratch_path(spark, "metadata")
+    kind = F.lit("random_forest").alias("type")
+    files.upsert_documents(current.select(kind, "signature"), path, "type")
+    metadata = files.read_documents(spark, path, "model_metadata")
+    skip = metrics.should_skip(metadata, current, [b.predictions(spark, d)])
+    return current.withColumn("skip", F.lit(skip))
+
+
 @query
 def regression_metrics(spark, d):
     scores = metrics.regression_metrics(b.predictions(spark, d), "actual_yield", "predicted_yield")
@@ -485,21 +497,23 @@ def kv_get(spark, d):
     path = scratch_path(spark, "kv")
     keyed.write_kv(keyed.to_kv(indices(spark, d)), path)
     entity = POINT_KEY.split(keys.KEY_SEPARATOR)[0]
-    return keyed.kv_get(keyed.stored_entity(spark.read.parquet(path), entity), POINT_KEY)
+    return keyed.kv_get(keyed.stored_entities(spark.read.parquet(path), entity), POINT_KEY)
 
 
 @query
 def kv_prefix_scan(spark, d):
     path = scratch_path(spark, "kv")
     keyed.write_kv(keyed.to_kv(zonal(spark, d)), path)
-    stored = keyed.stored_entity(spark.read.parquet(path), SERIES_COUNTY)
-    return serve.ndvi_series(stored, SERIES_COUNTY)
+    county = keyed.stored_entities(spark.read.parquet(path), SERIES_COUNTY)
+    return serve.ndvi_series(county, SERIES_COUNTY)
 
 
 @query
 def weather_series(spark, d):
-    summary = daily_summary(spark, d)
-    return serve.weather_series(keyed.to_kv(summary), SERIES_COUNTY)
+    path = scratch_path(spark, "kv")
+    keyed.write_kv(keyed.to_kv(daily_summary(spark, d)), path)
+    county = keyed.stored_entities(spark.read.parquet(path), SERIES_COUNTY)
+    return serve.weather_series(county, SERIES_COUNTY)
 
 
 @query

@@ -180,9 +180,13 @@ def test_stored_keys_are_read_from_one_bucket(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert stored.count() == 500
     for county in (1, 11, 499):
-        hit = keyed.kv_get(keyed.stored_entity(stored, county, 8), f"{county}_2015-01-01")
+        hit = keyed.kv_get(keyed.stored_entities(stored, county, buckets=8), f"{county}_2015-01-01")
         assert [r.ndvi for r in hit.collect()] == [county]
-    plan = plan_of(keyed.kv_get(keyed.stored_entity(stored, 1, 8), "1_2015-01-01"))
+    both = keyed.kv_get(
+        keyed.stored_entities(stored, 1, 499, buckets=8), "1_2015-01-01", "499_2015-01-01"
+    )
+    assert sorted(r.ndvi for r in both.collect()) == [1, 499]
+    plan = plan_of(keyed.kv_get(keyed.stored_entities(stored, 1, buckets=8), "1_2015-01-01"))
     assert "PartitionFilters: [isnotnull(bucket" in plan
     assert "EqualTo(key,1_2015-01-01)" in plan
 
