@@ -68,6 +68,19 @@ def scaling_factor(runs: DataFrame) -> DataFrame:
     )
 
 
+def scaling_report(runs: DataFrame) -> DataFrame:
+    """The runs and, as fraction -1, a row with their scaling factor."""
+    factor = scaling_factor(runs).select(
+        F.lit(-1.0).alias("fraction"),
+        F.lit(0).cast("bigint").alias("row_count"),
+        F.lit(0.0).alias("latency_ms"),
+        "scaling_factor",
+    )
+    return runs.select(
+        "fraction", "row_count", "latency_ms", F.lit(None).cast("double").alias("scaling_factor")
+    ).unionByName(factor)
+
+
 def format_speedup(runs: DataFrame) -> DataFrame:
     """Mean latency of both formats and their ratio.
 

@@ -261,6 +261,15 @@ hits AS (
 ordered AS (
   SELECT *, row_number() OVER (PARTITION BY county_id ORDER BY tier, p_partkey) AS nth FROM hits)"""
 
+RUNS = """runs AS (
+  SELECT l_linenumber AS line, count(*) AS n, sum(l_quantity) * l_linenumber AS ms
+  FROM lineitem GROUP BY 1),
+factor AS (
+  SELECT round((last.ms / greatest(base.ms, 1)) / (last.n / greatest(base.n, 1)), 3)
+           AS scaling_factor
+  FROM (SELECT * FROM runs ORDER BY line LIMIT 1) base,
+       (SELECT * FROM runs ORDER BY line DESC LIMIT 1) last)"""
+
 SIGNATURE = """printf('%d_%.4f_%d_%.4f', (SELECT count(*) FROM lagged),
         (SELECT coalesce(sum(avg_ndvi), 0) FROM lagged), (SELECT count(*) FROM yields),
         (SELECT coalesce(sum(yield_mt_ha), 0) FROM yields)) AS signature"""
@@ -299,13 +308,11 @@ ORACLE: dict[str, str] = {
         {_r('1 - sum((actual_yield - predicted_yield) ** 2) / sum((actual_yield - mean) ** 2)', 6)}
           AS r2
         FROM predictions, (SELECT avg(actual_yield) AS mean FROM predictions)""",
-    "scaling_factor": """WITH runs AS (
-        SELECT l_linenumber AS fraction, CAST(count(*) AS DOUBLE) AS n,
-               sum(l_quantity) * l_linenumber AS ms FROM lineitem GROUP BY 1)
-        SELECT round((last.ms / greatest(base.ms, 1)) / (last.n / greatest(base.n, 1)), 3)
-          AS scaling_factor
-        FROM (SELECT * FROM runs ORDER BY fraction LIMIT 1) base,
-             (SELECT * FROM runs ORDER BY fraction DESC LIMIT 1) last""",
+    "scaling_factor": _with(RUNS) + "SELECT scaling_factor FROM factor",
+    "scaling_report": _with(RUNS)
+    + """SELECT line / 7e0 AS fraction, n AS row_count, ms AS latency_ms,
+          CAST(NULL AS DOUBLE) AS scaling_factor FROM runs
+        UNION ALL SELECT -1e0, 0, 0e0, scaling_factor FROM factor""",
     "format_speedup": """WITH means AS (
         SELECT avg(l_quantity) FILTER (WHERE l_linestatus = 'F') AS orc,
                avg(l_quantity) FILTER (WHERE l_linestatus <> 'F') AS csv FROM lineitem)
@@ -348,6 +355,14 @@ ORACLE: dict[str, str] = {
         FROM forms
         UNION ALL
         SELECT event_id, 1, 20e0, 0e0 FROM forms WHERE form = 1""",
+    "live_observations": _with(PAYLOADS)
+    + """SELECT CAST(user_id AS INTEGER) AS county_id, CAST(ts AS DATE) AS date,
+          CASE WHEN form < 2 THEN round(k + 0.5e0, 2) ELSE 20e0 END AS temp_c,
+          CASE WHEN form < 2 THEN round(k, 2) WHEN form = 2 THEN 1.25e0 ELSE 0e0 END AS precip_mm
+        FROM forms JOIN events USING (event_id)
+        UNION ALL
+        SELECT -1, CAST(ts AS DATE), 20e0, 0e0 FROM forms JOIN events USING (event_id)
+        WHERE form = 1""",
     "station_filter": _with(INVENTORY)
     + """SELECT station_id, ctry AS "CTRY", lat AS "LAT", lon AS "LON", begin_day AS "BEGIN",
         end_day AS "END" FROM active""",

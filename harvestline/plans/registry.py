@@ -175,10 +175,9 @@ def regression_metrics(spark, d):
     return scores.select("n", _six("rmse"), _six("r2"))
 
 
-@query
-def scaling_factor(spark, d):
+def _runs(spark, d):
     line = F.col("l_linenumber")
-    runs = (
+    return (
         b.table(spark, d, "lineitem")
         .groupBy((line / 7.0).alias("fraction"))
         .agg(
@@ -186,7 +185,16 @@ def scaling_factor(spark, d):
             (F.sum("l_quantity") * F.max(line)).alias("latency_ms"),
         )
     )
-    return metrics.scaling_factor(runs)
+
+
+@query
+def scaling_factor(spark, d):
+    return metrics.scaling_factor(_runs(spark, d))
+
+
+@query
+def scaling_report(spark, d):
+    return metrics.scaling_report(_runs(spark, d))
 
 
 @query
@@ -288,6 +296,16 @@ def json_payload(spark, d):
     return files.parse_live_weather(b.payloads(spark, d), "payload", "event_id")
 
 
+@query
+def live_observations(spark, d):
+    events = b.table(spark, d, "events").select(
+        "event_id",
+        F.array(F.col("user_id").cast("int"), F.lit(-1)).alias("county_ids"),
+        F.col("ts").cast("date").alias("date"),
+    )
+    return files.live_observations(b.payloads(spark, d).join(events, "event_id"))
+
+
 # --- stations ----------------------------------------------------------------
 
 

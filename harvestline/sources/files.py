@@ -92,6 +92,21 @@ def parse_live_weather(df: DataFrame, payload: str, *keep: str) -> DataFrame:
     )
 
 
+def live_observations(
+    df: DataFrame, payload: str = "payload", counties: str = "county_ids", day: str = "date"
+) -> DataFrame:
+    """Daily observations of the regions a payload was fetched for.
+
+    ``counties`` lists the regions in the order of the readings.
+    """
+    return parse_live_weather(df, payload, counties, day).select(
+        F.get(counties, F.col("position")).alias("county_id"),
+        F.col(day).alias("date"),
+        "temp_c",
+        "precip_mm",
+    )
+
+
 def export_csv(df: DataFrame, path: str, header: bool = False, **options: str) -> None:
     """CSV files; an ordered frame gives files whose order continues in name order."""
     df.write.mode("overwrite").options(header=header, **options).csv(path)
