@@ -84,9 +84,9 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
     contains the region's, then the first that contains its first word.
 
     Containment is an equality join on the substrings of a name, not a loop over
-    pairs; only substrings as long as some wanted text are made. Each wanted text
-    keeps its first name only, before regions meet it. Names are place names of
-    at most 100 characters.
+    pairs; only substrings as long as some wanted text are made, and once for a
+    name however often it occurs. Each wanted text keeps its first name only,
+    before regions meet it. Names are place names of at most 100 characters.
     """
     wanted = regions.select(
         "county_id",
@@ -116,7 +116,10 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
             ),
         )
     )
-    named = names.filter(length > 0).withColumn("sizes", sizes)
+    once = first_per_key(
+        names.withColumn("lowered", text).filter(length > 0), ["lowered"], ["ord", "name"]
+    )
+    named = once.drop("lowered").withColumn("sizes", sizes)
     offered = named.select(
         "name", "ord", F.lit(True).alias("whole"), text.alias("text")
     ).unionByName(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -59,8 +60,14 @@ def upsert_batch(path: str):
 
 
 def read_versions(spark: SparkSession, path: str, n: int = VERSIONS) -> DataFrame:
-    """The ``n`` newest versions of every key."""
-    return keep_versions(spark.read.schema(STORED).parquet(path), ["key"], [EPOCH], n)
+    """The ``n`` newest versions of every key; none before the first batch."""
+    try:
+        cells = spark.read.schema(STORED).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        cells = spark.createDataFrame([], STORED)
+    return keep_versions(cells, ["key"], [EPOCH], n)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:

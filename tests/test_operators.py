@@ -386,6 +386,9 @@ def test_scaling_and_format_ratios(spark):
         "fraction double, row_count bigint, latency_ms double",
     )
     assert metrics.scaling_factor(runs).first()[0] == 0.4
+    report = metrics.scaling_report(runs)
+    assert rows(report.filter("fraction < 0")) == [(-1.0, 0, 0.0, 0.4)]
+    assert report.count() == 4
     formats = spark.createDataFrame(
         [("orc", 10.0), ("orc", 20.0), ("csv", 45.0)], "format string, latency_ms double"
     )

@@ -85,6 +85,18 @@ def test_payload_defaults(spark):
     ]
 
 
+def test_live_observations_go_to_their_regions(spark):
+    body = '[{"current":{"temperature_2m":1.0,"precipitation":2.0}},{"current":{}},{}]'
+    frame = spark.createDataFrame(
+        [(body, [4, 2], "2015-01-01")], "payload string, county_ids array<int>, date string"
+    )
+    assert rows(files.live_observations(frame), "temp_c", "county_id") == [
+        (4, "2015-01-01", 1.0, 2.0),
+        (None, "2015-01-01", 20.0, 0.0),
+        (2, "2015-01-01", 20.0, 0.0),
+    ]
+
+
 def test_ordered_export_continues_over_files(spark, tmp_path):
     frame = spark.range(5000).selectExpr("cast(5000 - id as int) county_id", "2015 year")
     path = str(tmp_path / "out")

@@ -66,6 +66,10 @@ def test_versions_and_replayed_epochs(spark, folders):
     assert [r.epoch for r in daily.read_versions(spark, folders["archive"]).collect()] == [3]
 
 
+def test_nothing_is_stored_before_the_first_batch(spark, folders):
+    assert daily.read_latest(spark, folders["target"]).isEmpty()
+
+
 def test_at_most_so_many_files_a_batch(spark, folders):
     for i in range(5):
         put(folders["inbox"], f"{i}.csv", HEAD + f"{i},2015-01-01,10,1\n")
