@@ -654,7 +654,8 @@ def _streamed_daily(spark: SparkSession, d: str, mode: str) -> DataFrame:
     incoming = daily.stream_observations(spark, _inbox(spark, d))
     checkpoint = scratch_path(spark, "daily-checkpoint")
     daily.run(daily.start_daily(incoming, target, checkpoint, output_mode=mode))
-    return daily.read_latest(spark, target).drop("key", daily.EPOCH)
+    latest = daily.read_latest(spark, target, complete=mode == "complete")
+    return latest.drop("key", daily.EPOCH)
 
 
 @query
@@ -688,7 +689,7 @@ def stream_relay(spark, d):
     target = scratch_path(spark, "daily")
     incoming = daily.stream_observations(spark, relayed)
     daily.run(daily.start_daily(incoming, target, scratch_path(spark, "daily-checkpoint")))
-    return daily.read_latest(spark, target).drop("key", daily.EPOCH)
+    return daily.read_latest(spark, target, complete=True).drop("key", daily.EPOCH)
 
 
 @query

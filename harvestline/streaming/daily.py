@@ -59,19 +59,28 @@ def upsert_batch(path: str):
     return write
 
 
-def read_versions(spark: SparkSession, path: str, n: int = VERSIONS) -> DataFrame:
-    """The ``n`` newest versions of every key; none before the first batch."""
+def read_versions(
+    spark: SparkSession, path: str, n: int = VERSIONS, complete: bool = False
+) -> DataFrame:
+    """The ``n`` newest versions of every key; none before the first batch.
+
+    Say ``complete`` for a sink fed in complete mode: each epoch then holds every
+    key, so only the folders of the last ``n`` epochs are opened.
+    """
     try:
         cells = spark.read.schema(STORED).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         cells = spark.createDataFrame([], STORED)
+    if complete:
+        newest = cells.agg(F.max(EPOCH)).scalar()
+        cells = cells.filter(F.col(EPOCH) > newest - n)
     return keep_versions(cells, ["key"], [EPOCH], n)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    return read_versions(spark, path, 1)
+def read_latest(spark: SparkSession, path: str, complete: bool = False) -> DataFrame:
+    return read_versions(spark, path, 1, complete)
 
 
 def compact(spark: SparkSession, path: str, target: str, n: int = VERSIONS) -> None:

@@ -50,6 +50,8 @@ def test_stream_equals_batch_over_restarts(spark, folders, mode):
     put(folders["inbox"], "b.csv", SECOND)
     drain(spark, folders, mode)
     streamed = daily.read_latest(spark, folders["target"]).drop("key", "epoch")
+    latest = daily.read_latest(spark, folders["target"], complete=mode == "complete")
+    assert rows(latest.drop("key", "epoch").na.fill(-1)) == rows(streamed.na.fill(-1))
     batch = daily_summary(clean_stream(files.read_observations(spark, folders["inbox"])))
     assert rows(streamed.na.fill(-1)) == rows(batch.na.fill(-1))
     assert (1, "2015-01-01", 15.0, 3.0, 3) in rows(streamed)
@@ -60,8 +62,9 @@ def test_versions_and_replayed_epochs(spark, folders):
     sink = daily.upsert_batch(folders["target"])
     for epoch in (0, 1, 2, 3, 3):
         sink(batch, epoch)
-    kept = daily.read_versions(spark, folders["target"])
-    assert sorted(r.epoch for r in kept.collect()) == [1, 2, 3]
+    for complete in (False, True):
+        kept = daily.read_versions(spark, folders["target"], complete=complete)
+        assert sorted(r.epoch for r in kept.collect()) == [1, 2, 3]
     daily.compact(spark, folders["target"], folders["archive"], 1)
     assert [r.epoch for r in daily.read_versions(spark, folders["archive"]).collect()] == [3]
 
