@@ -224,7 +224,8 @@ AREA_TEXT = "concat_ws('|', 'area', county_id, crop, year)"
 YIELD_KEYS_TEXT = "concat_ws('|', county_id, year, crop)"
 
 CENTRE_ROWS = ", ".join(
-    f"({i}, '{name}', {lon}e0, {lat}e0)" for i, (name, (lon, lat)) in enumerate(REGION_CENTRES.items())
+    f"({i}, '{name}', {lon}e0, {lat}e0)"
+    for i, (name, (lon, lat)) in enumerate(REGION_CENTRES.items())
 )
 
 PAYLOADS = """forms AS (
@@ -275,7 +276,8 @@ SIGNATURE = """printf('%d_%.4f_%d_%.4f', (SELECT count(*) FROM lagged),
         (SELECT coalesce(sum(yield_mt_ha), 0) FROM yields)) AS signature"""
 
 ORACLE: dict[str, str] = {
-    "weather_clean_batch": _with(OBS, CLEAN) + "SELECT county_id, date, temp_c, precip_mm FROM clean",
+    "weather_clean_batch": _with(OBS, CLEAN)
+    + "SELECT county_id, date, temp_c, precip_mm FROM clean",
     "weather_clean_stream_rules": _with(STREAM_OBS, CLEAN_STREAM)
     + "SELECT county_id, date, temp_c, precip_mm FROM clean_stream",
     "composite_dates": f"""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date,
@@ -394,7 +396,8 @@ ORACLE: dict[str, str] = {
     "region_match": _with(MATCH)
     + """SELECT county_id, region, tier,
         upper(split_part(p_name, ' ', 1)[1]) || split_part(p_name, ' ', 1)[2:] || ' '
-          || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS matched, p_partkey AS ord
+          || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS matched,
+        p_partkey AS ord
         FROM ordered WHERE nth = 1""",
     "spread_yields": _with(YIELDS, COUNTIES)
     + f""", home AS (
@@ -503,7 +506,8 @@ ORACLE: dict[str, str] = {
     "orc_roundtrip": _with(OBS, CLEAN, INDICES) + "SELECT * FROM indices",
     "csv_roundtrip": _with(OBS)
     + "SELECT county_id, CAST(date AS VARCHAR) AS date, temp_c, precip_mm FROM obs",
-    "headerless_csv": _with(YIELDS) + "SELECT county_id, crop, year, yield_mt_ha, area_ha FROM yields",
+    "headerless_csv": _with(YIELDS)
+    + "SELECT county_id, crop, year, yield_mt_ha, area_ha FROM yields",
     "ordered_csv": _with(YIELDS) + "SELECT county_id, crop, year, yield_mt_ha, area_ha FROM yields",
     "latin1_csv": _with(FAO)
     + """SELECT 'Côte ' || area AS "Area", item AS "Item", element AS "Element", year AS "Year",

@@ -161,7 +161,9 @@ def test_fill_touches_numbers_only(spark):
 
 
 def test_require_drops_null_and_nan(spark):
-    frame = spark.createDataFrame([(1.0, "a"), (NAN, "b"), (None, "c"), (2.0, None)], "x double, s string")
+    frame = spark.createDataFrame(
+        [(1.0, "a"), (NAN, "b"), (None, "c"), (2.0, None)], "x double, s string"
+    )
     assert [r.s for r in cleaning.require(frame, "x", "s").collect()] == ["a"]
 
 

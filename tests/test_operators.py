@@ -115,7 +115,9 @@ def test_annual_features_fan_out_by_crop(spark):
 
 
 def test_versions_keep_the_newest(spark):
-    cells = spark.createDataFrame([("k", e, f"v{e}") for e in range(4)], "key string, epoch int, v string")
+    cells = spark.createDataFrame(
+        [("k", e, f"v{e}") for e in range(4)], "key string, epoch int, v string"
+    )
     kept = keyed.keep_versions(cells, ["key"], ["epoch"], 3)
     assert [r[1] for r in rows(kept, "epoch")] == [1, 2, 3]
     assert plan_of(kept).count("WindowGroupLimit") == 2
@@ -235,7 +237,12 @@ def test_top_stations_ties_go_by_id(spark):
 
 def test_unique_station_has_one_place(spark):
     obs = spark.createDataFrame(
-        [("s", "US", 2.0, 1.0), ("s", "US", 1.0, 9.0), ("s", "US", 1.0, 9.0), ("t", "IN", 0.0, 0.0)],
+        [
+            ("s", "US", 2.0, 1.0),
+            ("s", "US", 1.0, 9.0),
+            ("s", "US", 1.0, 9.0),
+            ("t", "IN", 0.0, 0.0),
+        ],
         "station_id string, country string, lat double, lon double",
     )
     assert rows(stations.unique_stations(obs)) == [("s", "US", 1.0, 9.0), ("t", "IN", 0.0, 0.0)]

@@ -43,9 +43,8 @@ def test_stream_equals_batch_over_restarts(spark, folders, mode):
     put(folders["inbox"], "a.csv", FIRST)
     put(folders["inbox"], "empty.csv", HEAD)
     drain(spark, folders, mode)
-    assert rows(daily.read_latest(spark, folders["target"]).select("key", "avg_temp", "record_count")) == [
-        ("1_2015-01-01", 10.0, 2)
-    ]
+    first = daily.read_latest(spark, folders["target"])
+    assert rows(first.select("key", "avg_temp", "record_count")) == [("1_2015-01-01", 10.0, 2)]
     # The same day in a second file adds to the stored counts.
     put(folders["inbox"], "b.csv", SECOND)
     drain(spark, folders, mode)
@@ -98,7 +97,9 @@ def test_sink_errors_end_the_query(spark, folders, monkeypatch):
 def test_run_stops_after_its_time(spark, folders):
     put(folders["inbox"], "a.csv", FIRST)
     incoming = daily.stream_observations(spark, folders["inbox"])
-    query = daily.start_daily(incoming, folders["target"], folders["checkpoint"], interval_seconds=1)
+    query = daily.start_daily(
+        incoming, folders["target"], folders["checkpoint"], interval_seconds=1
+    )
     daily.run(query, 8)
     assert not query.isActive
     assert daily.read_latest(spark, folders["target"]).count() == 1
