@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from harvestline.session import scratch_path
 
 Batches = Iterator[pa.RecordBatch]
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
@@ -44,7 +46,17 @@ def appended(df: DataFrame, *fields: StructField) -> StructType:
     return StructType([*df.schema.fields, *fields])
 
 
-def map_arrow(df: DataFrame, rows: Callable[[Batches], Batches], schema: StructType) -> DataFrame:
+def map_arrow(
+    df: DataFrame, rows: Callable[[Batches], Batches], schema: StructType | str
+) -> DataFrame:
+    """``mapInArrow`` whose workers find this library where the driver has it.
+
+    On a cluster without a shared installation the library goes with ``--py-files``.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
     return df.mapInArrow(rows, schema)
 
 

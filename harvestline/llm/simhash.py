@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from harvestline.llm.common import Batches, appended, keep, text_bytes, with_columns, without
+from harvestline.llm.common import Batches, appended, keep, map_arrow, text_bytes, with_columns, without
 from harvestline.llm.graph import Forest, components
 
 WORDS = 3
@@ -80,7 +80,7 @@ def add_fingerprint(
             made = [fingerprint(t, words) for t in text_bytes(batch.column(place))]
             yield with_columns(batch, **{out: pa.array(made, pa.int64())})
 
-    return docs.mapInArrow(rows, appended(docs, StructField(out, LongType())))
+    return map_arrow(docs, rows, appended(docs, StructField(out, LongType())))
 
 
 def _part(fp: Column, i: int) -> Column:
@@ -178,7 +178,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(e) for e in ends], ["a", "b"])
 
     tiled = keep(tiles(fps), "tiles")
-    return tile_pairs(tiled, radius).mapInArrow(rows, "a long, b long")
+    return map_arrow(tile_pairs(tiled, radius), rows, "a long, b long")
 
 
 def fingerprint_components(printed: DataFrame, id_col: str, radius: int = RADIUS) -> DataFrame:
