@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm import decontaminate, embeddings, simhash
+from harvestline.llm import decontaminate, embeddings, packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
     )
 
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(
