@@ -6,7 +6,9 @@ import gc
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -46,17 +48,21 @@ def appended(df: DataFrame, *fields: StructField) -> StructType:
     return StructType([*df.schema.fields, *fields])
 
 
-def map_arrow(
-    df: DataFrame, rows: Callable[[Batches], Batches], schema: StructType | str
-) -> DataFrame:
-    """``mapInArrow`` whose workers find this library where the driver has it.
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver has it.
 
     On a cluster without a shared installation the library goes with ``--py-files``.
     """
-    environment = df.sparkSession.sparkContext.environment
+    environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
+
+
+def map_arrow(
+    df: DataFrame, rows: Callable[[Batches], Batches], schema: StructType | str
+) -> DataFrame:
+    importable(df.sparkSession)
     return df.mapInArrow(rows, schema)
 
 
@@ -71,6 +77,32 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def slabs(column: pa.Array, size: int) -> Iterator[tuple[int, pa.Array]]:
+    """Copied parts of a text column of about ``size`` bytes, one text at least."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for i, length in enumerate([*sizes, size]):
+        if total and total + length > size or i == len(sizes) > start:
+            yield start, column.take(pa.array(np.arange(start, i)))
+            start, total = i, 0
+        total += length
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in a row, and where those of each text begin and end.
+
+    Words are runs of anything but ASCII white space, upper-case ASCII lowered.
+    ``texts`` must not be a slice; null counts as empty.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+    words = split.flatten()
+    full = pc.greater(pc.binary_length(words), 0)
+    before = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    return words.filter(full), before[ends]
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

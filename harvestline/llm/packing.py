@@ -32,7 +32,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from harvestline.llm.common import Batches, map_arrow
+from harvestline.llm.common import Batches, map_arrow, slabs
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
@@ -222,17 +222,6 @@ class Stream:
         self.held -= done
 
 
-def slabs(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Copied parts of a text column of about ``TEXT_SLAB`` bytes, one text at least."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    start, total = 0, 0
-    for i, size in enumerate([*sizes, TEXT_SLAB]):
-        if total and total + size > TEXT_SLAB or i == len(sizes) > start:
-            yield start, column.take(pa.array(np.arange(start, i)))
-            start, total = i, 0
-        total += size
-
-
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -287,7 +276,7 @@ def pack(
         for batch in batches:
             kind = batch.column(0).type
             keys = batch.column(0).to_pylist()
-            for first, texts in slabs(batch.column(1)):
+            for first, texts in slabs(batch.column(1), TEXT_SLAB):
                 for k, ids in enumerate(words.encode(texts)):
                     stream.add(keys[first + k], np.append(ids, end))
                     if stream.held >= BLOCK:

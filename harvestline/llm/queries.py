@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm import decontaminate, embeddings, packing, sharding, simhash
+from harvestline.llm import decontaminate, embeddings, hmm, packing, sharding, simhash
 from harvestline.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
     )
 
+@query
+def op5_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
