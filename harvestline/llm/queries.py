@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm import decontaminate, embeddings, hmm, packing, sharding, simhash
+from harvestline.llm import decontaminate, embeddings, hmm, packing, pii, sharding, simhash
 from harvestline.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col(pii.SPANS)
+    return found.select(
+        "doc_id",
+        *[pii.count_kind(spans, k.name).alias(f"n_{k.name}") for k in pii.BASE],
+        F.sha2(pii.spelled(F.filter(spans, pii.is_base)), 256).alias("base_sha256"),
+        pii.spelled(spans).alias("spans"),
+    )
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
