@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm import decontaminate, embeddings, hmm, packing, pii, sharding, simhash
-from harvestline.llm.common import text_or_empty
+from harvestline.llm import decontaminate, embeddings, hmm, packing, pii, sharding, simhash, toxicity
+from harvestline.llm.common import bucket_of_id, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +62,20 @@ def op5_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    score = F.col(toxicity.SCORE)
+    held_out = bucket_of_id("doc_id", toxicity.FOLDS) == toxicity.HELD_FOLD
+    return toxicity.add_scores(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+        (score >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
