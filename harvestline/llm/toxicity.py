@@ -40,12 +40,12 @@ from harvestline.llm.common import (
 
 FOLDS, HELD_FOLD = 5, 0
 MAX_TRAIN = 30_000
-MAX_FEATURES = 20_000
+MAX_FEATURES = 1_000
 LEAST_TEXTS = 3  # labelled texts a feature must be in
 PREFIXES = (4, 5, 6)
 SLAB = 4 << 20
 FAIRNESS = 5.0  # weight of the penalty on score changes
-RIDGE = 1e-3
+RIDGE = 3e-5
 STEPS = 300
 RATE = 0.05
 THRESHOLD = 0.5
