@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm import decontaminate, embeddings, hmm, packing, pii, sharding, simhash, toxicity
+from harvestline.llm import decontaminate, embeddings, hmm, licenses, line_dedup, packing, pii, sharding, simhash, toxicity
 from harvestline.llm.common import bucket_of_id, text_or_empty
 
+from harvestline.llm.oracle import ORACLE  # noqa: F401
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -36,6 +38,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -76,6 +83,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
@@ -92,5 +104,4 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
-ORACLE: dict[str, str] = {}
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
\ No newline at end of file
