@@ -18,15 +18,16 @@ NDVI_NODATA = -3000
 NDVI_SCALE = 10000.0
 
 
-def stable_round(value: Column, scale: int) -> Column:
+def stable_round(value: Column, scale: int, digits: int = 38) -> Column:
     """Half-up rounding that does not depend on the order of a floating sum.
 
     A mean such as 1.00125 may come out as 1.0012499999999998 when partial sums
     meet in another order (retried task, other partition count), and plain
     ``round`` then flips. Six guard digits of decimal remove that noise. Values
-    a decimal cannot hold (NaN, very large) fall back to plain ``round``.
+    a decimal cannot hold (NaN, very large) fall back to plain ``round``; for sums
+    keep the 38 digits, values of one row with a known bound do with 18.
     """
-    guarded = F.round(value.try_cast(f"decimal(18,{scale + 6})"), scale).cast("double")
+    guarded = F.round(value.try_cast(f"decimal({digits},{scale + 6})"), scale).cast("double")
     return F.coalesce(guarded, F.round(value, scale))
 
 
@@ -70,7 +71,7 @@ def fahrenheit_to_c(text: Column) -> Column:
     """Celsius of a Fahrenheit text; NULL where missing (> 9000) or not a number."""
     degrees = coerce_double(text)
     return F.when(
-        ~(degrees > MISSING_TEMP_F) | F.isnan(degrees), stable_round((degrees - 32) * 5 / 9, 2)
+        ~(degrees > MISSING_TEMP_F) | F.isnan(degrees), stable_round((degrees - 32) * 5 / 9, 2, 18)
     )
 
 
@@ -83,7 +84,7 @@ def precip_to_mm(text: Column) -> Column:
     """
     kept = F.regexp_replace(F.coalesce(text, F.lit("99.99")), "[^0-9.]", "")
     inches = F.when(kept == "", F.lit(0.0)).otherwise(kept.try_cast("double"))
-    return F.when(inches < MISSING_PRECIP_IN, stable_round(inches * MM_PER_INCH, 2)).when(
+    return F.when(inches < MISSING_PRECIP_IN, stable_round(inches * MM_PER_INCH, 2, 18)).when(
         inches.isNotNull(), F.lit(0.0)
     )
 

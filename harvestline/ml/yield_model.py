@@ -115,11 +115,11 @@ def train(
 
 def _fit(train_set: DataFrame, use_cross_validation: bool, parallelism: int):
     if use_cross_validation:
-        try:
+        folds = train_set.select("fold").distinct().count()
+        if folds == FOLDS:
             validation = cross_validator(forest(), parallelism).fit(train_set)
             return validation.bestModel, validation
-        except Exception as error:  # too little data for some fold
-            log.warning("cross-validation failed, fitting the default forest: %s", error)
+        log.warning("only %s of %s folds have rows, fitting the default forest", folds, FOLDS)
     return forest().fit(train_set), None
 
 

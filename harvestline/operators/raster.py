@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from harvestline.functions.geometry import MODIS_GRID, RasterGrid, ring_edges
 from harvestline.functions.numeric import NDVI_NODATA, NDVI_SCALE, scale_ndvi, stable_round
-from harvestline.operators.joins import join_checked
 
 
 def raster_pixels(lines: DataFrame) -> DataFrame:
@@ -126,6 +125,16 @@ def zone_runs(zones: DataFrame, grid: RasterGrid = MODIS_GRID) -> DataFrame:
     )
 
 
+def line_runs(zones: DataFrame, grid: RasterGrid = MODIS_GRID) -> DataFrame:
+    """The runs of all zones on a raster line in one row, as many as cross the line."""
+    run = F.struct("county_id", "first", "n")
+    return (
+        zone_runs(zones, grid)
+        .groupBy("tile_h", "tile_v", "line")
+        .agg(F.collect_list(run).alias("runs"))
+    )
+
+
 def zonal_stats(
     lines: DataFrame,
     zones: DataFrame,
@@ -136,14 +145,18 @@ def zonal_stats(
     """Mean, minimum, maximum and count of valid pixels per zone, tile and date.
 
     Sums are of whole numbers and exact. A zone without a valid pixel on a tile
-    has no row. The per-tile means feed ``zonal_ndvi`` as samples.
+    has no row. The per-tile means feed ``zonal_ndvi`` as samples. A line meets
+    its zones in one row, so the join does not multiply the raster.
     """
-    inside = join_checked(lines, zone_runs(zones, grid), ["tile_h", "tile_v", "line"]).select(
-        "county_id",
+    met = lines.join(line_runs(zones, grid), ["tile_h", "tile_v", "line"]).select(
+        "tile_h", "tile_v", "date", "raw", F.explode("runs").alias("run")
+    )
+    inside = met.select(
+        "run.county_id",
         "tile_h",
         "tile_v",
         "date",
-        F.explode(F.slice("raw", F.col("first") + 1, F.col("n"))).alias("raw"),
+        F.explode(F.slice("raw", F.col("run.first") + 1, F.col("run.n"))).alias("raw"),
     )
     return (
         inside.filter(F.col("raw") != nodata)

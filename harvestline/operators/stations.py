@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from harvestline.functions.numeric import coerce_double, coerce_int
 from harvestline.operators.cleaning import require, trim_columns
-from harvestline.operators.joins import join_checked
 from harvestline.operators.keyed import first_per_key
 
 UNKNOWN_COUNTRY = "??"
@@ -60,8 +59,12 @@ def top_stations(stations: DataFrame, n: int = 10) -> DataFrame:
 
 
 def station_country(obs: DataFrame, stations: DataFrame) -> DataFrame:
-    """Observations with the country of their station, ``??`` where unlisted."""
-    countries = stations.select("station_id", F.col("CTRY").alias("country"))
+    """Observations with the country of their station, ``??`` where unlisted.
+
+    Of a station that is listed twice the first country by name counts.
+    """
+    listed = stations.select("station_id", F.col("CTRY").alias("country"))
+    countries = first_per_key(require(listed, "country"), ["station_id"], ["country"])
     return obs.join(countries, "station_id", "left").withColumn(
         "country", F.coalesce("country", F.lit(UNKNOWN_COUNTRY))
     )
@@ -185,8 +188,9 @@ def _closest_boxes(pairs: DataFrame) -> DataFrame:
 def assign_observations(obs: DataFrame, mapping: DataFrame) -> DataFrame:
     """Observations of a station, once for every region mapped to it.
 
-    The mapping has one row per region and is counted, so hand in a stored one.
+    The mapping has one row per region. Hand in a stored one, whose true size
+    decides if it is broadcast.
     """
-    return join_checked(obs, mapping.select("county_id", "station_id"), ["station_id"]).select(
+    return obs.join(mapping.select("county_id", "station_id"), "station_id").select(
         "county_id", "date", "temp_c", "precip_mm"
     )

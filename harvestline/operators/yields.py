@@ -77,9 +77,10 @@ def national_yields(fao: DataFrame, patterns: dict[str, str] = CROP_PATTERNS) ->
 
 
 def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
-    """Boundary of every region by name, in three steps.
+    """Boundary of every region by name within its country, in three steps.
 
-    ``regions``: county_id, name. ``names``: name, ord (order of the rows).
+    ``regions``: county_id, country, name. ``names``: country, name, ord (order of
+    the rows). Names are only looked for in the same country.
     Upper and lower case are equal. An equal name wins, then the first name that
     contains the region's, then the first that contains its first word.
 
@@ -90,6 +91,7 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
     """
     wanted = regions.select(
         "county_id",
+        "country",
         F.col("name").alias("region"),
         F.posexplode(
             F.array(
@@ -101,9 +103,10 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
                 ),
             )
         ).alias("tier", "probe"),
-    ).select("county_id", "region", (F.col("tier") + 1).alias("tier"), "probe.*")
+    ).select("county_id", "country", "region", (F.col("tier") + 1).alias("tier"), "probe.*")
 
-    texts = wanted.select("whole", "text").distinct()
+    asked = ["country", "whole", "text"]
+    texts = wanted.select(*asked).distinct()
     sizes = texts.filter(~F.col("whole")).agg(F.collect_set(F.length("text"))).scalar()
     text = F.lower("name")
     length = F.length(text)
@@ -117,13 +120,16 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
         )
     )
     once = first_per_key(
-        names.withColumn("lowered", text).filter(length > 0), ["lowered"], ["ord", "name"]
+        names.withColumn("lowered", text).filter(length > 0),
+        ["country", "lowered"],
+        ["ord", "name"],
     )
     named = once.drop("lowered").withColumn("sizes", sizes)
     offered = named.select(
-        "name", "ord", F.lit(True).alias("whole"), text.alias("text")
+        "country", "name", "ord", F.lit(True).alias("whole"), text.alias("text")
     ).unionByName(
         named.select(
+            "country",
             "name",
             "ord",
             F.lit(False).alias("whole"),
@@ -131,9 +137,9 @@ def match_region(regions: DataFrame, names: DataFrame) -> DataFrame:
         )
     )
     first = first_per_key(
-        offered.join(texts, ["whole", "text"], "left_semi"), ["whole", "text"], ["ord", "name"]
+        offered.join(texts, asked, "left_semi"), asked, ["ord", "name"]
     )
-    hits = wanted.join(first, ["whole", "text"])
+    hits = wanted.join(first, asked)
     return first_per_key(hits, ["county_id"], ["tier"]).select(
-        "county_id", "region", "tier", F.col("name").alias("matched"), "ord"
+        "county_id", "country", "region", "tier", F.col("name").alias("matched"), "ord"
     )

@@ -347,6 +347,7 @@ def match_targets(spark: SparkSession, d: str) -> DataFrame:
         .join(part, key == F.col("p_partkey"))
         .select(
             key.cast("int").alias("county_id"),
+            F.concat(F.lit("C"), key % 3).alias("country"),
             F.when(key % 4 == 0, F.upper("p_name"))
             .when(key % 4 == 1, F.substring(words[1], 1, 3))
             .when(key % 4 == 2, F.concat(words[1], F.lit(" zone")))
@@ -357,6 +358,12 @@ def match_targets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def match_names(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select(
-        F.initcap("p_name").alias("name"), F.col("p_partkey").alias("ord")
+    """Part names as boundaries, each in three countries with orders of their own."""
+    part = table(spark, d, "part").select(
+        F.initcap("p_name").alias("name"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("c"), "p_partkey"
+    )
+    return part.select(
+        F.concat(F.lit("C"), "c").alias("country"),
+        "name",
+        (F.col("p_partkey") * 7 % (10 + F.col("c")) * 1000000 + F.col("p_partkey")).alias("ord"),
     )

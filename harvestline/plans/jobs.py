@@ -24,7 +24,6 @@ from harvestline.functions.numeric import coerce_double
 from harvestline.ml import yield_model
 from harvestline.operators import features, keyed, metrics, raster, sets, stations, weather, yields
 from harvestline.operators.cleaning import require
-from harvestline.operators.joins import join_checked
 from harvestline.session import stored
 from harvestline.sources import files, tables
 
@@ -48,11 +47,13 @@ def target_regions(spark: SparkSession, targets: dict = TARGET_REGIONS) -> DataF
 def build_counties(targets: DataFrame, boundaries: DataFrame) -> DataFrame:
     """Regions with their outline, a one-degree box where no boundary matches.
 
-    ``boundaries``: name, ord (order of the rows), geom.
+    ``boundaries``: country, name, ord (order of the rows), geom. A region takes
+    an outline of its own country only.
     """
-    matched = yields.match_region(targets, boundaries.select("name", "ord"))
+    matched = yields.match_region(targets, boundaries.select("country", "name", "ord"))
     outlines = matched.join(
-        boundaries.select("ord", F.col("name").alias("matched"), "geom"), ["ord", "matched"]
+        boundaries.select("country", "ord", F.col("name").alias("matched"), "geom"),
+        ["country", "ord", "matched"],
     ).select("county_id", "geom")
     return targets.join(outlines, "county_id", "left").select(
         "county_id",
@@ -130,7 +131,7 @@ def prepare_ndvi(
     """
     zones = counties.select("county_id", project_geometry(F.col("geom")).alias("geom"))
     new = sets.unseen(lines.select("file").distinct(), seen, "file")
-    return raster.zonal_stats(join_checked(lines, new, ["file"]), zones, grid).select(
+    return raster.zonal_stats(lines.join(new, "file", "left_semi"), zones, grid).select(
         "county_id", "date", F.lit(0).alias("pixel_x"), F.lit(0).alias("pixel_y"), "ndvi"
     )
 

@@ -249,13 +249,14 @@ def _outline(point: str, trim: bool) -> str:
 
 
 MATCH = """targets AS (
-  SELECT CAST(s_suppkey AS INTEGER) AS county_id,
+  SELECT CAST(s_suppkey AS INTEGER) AS county_id, s_suppkey % 3 AS c,
          CASE s_suppkey % 4 WHEN 0 THEN upper(p_name)
               WHEN 1 THEN substr(split_part(p_name, ' ', 2), 1, 3)
               WHEN 2 THEN split_part(p_name, ' ', 2) || ' zone' ELSE 'qqq' END AS region
   FROM supplier JOIN part ON s_suppkey = p_partkey),
 hits AS (
-  SELECT county_id, region, p_name, p_partkey,
+  SELECT county_id, region, p_name, 'C' || c AS country,
+         (p_partkey * 7 % (10 + c)) * 1000000 + p_partkey AS p_partkey,
          CASE WHEN p_name = lower(region) THEN 1 WHEN contains(p_name, lower(region)) THEN 2
               ELSE 3 END AS tier
   FROM targets JOIN part ON contains(p_name, split_part(lower(region), ' ', 1))),
@@ -394,7 +395,7 @@ ORACLE: dict[str, str] = {
         41.5e0 AS lat, -93.5e0 AS lon, temp_c, precip_mm FROM station_metric
         WHERE temp_c IS NOT NULL AND precip_mm IS NOT NULL""",
     "region_match": _with(MATCH)
-    + """SELECT county_id, region, tier,
+    + """SELECT county_id, country, region, tier,
         upper(split_part(p_name, ' ', 1)[1]) || split_part(p_name, ' ', 1)[2:] || ' '
           || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS matched,
         p_partkey AS ord
@@ -516,7 +517,8 @@ ORACLE: dict[str, str] = {
     "small_files": _with(STREAM_OBS) + "SELECT * FROM stream_obs",
     "stream_daily": _with(STREAM_OBS, CLEAN_STREAM, DAILY) + "SELECT * FROM daily",
     "stream_daily_update": _with(STREAM_OBS, CLEAN_STREAM, DAILY) + "SELECT * FROM daily",
+    "stream_two_runs": _with(STREAM_OBS, CLEAN_STREAM, DAILY) + "SELECT * FROM daily",
     "stream_spool": _with(STREAM_OBS) + "SELECT * FROM stream_obs",
     "stream_relay": _with(STREAM_OBS, CLEAN_STREAM, DAILY) + "SELECT * FROM daily",
-    "ingest_counters": "SELECT count(*) AS records_in, count(*) AS records_out FROM events",
+    "ingest_counters": "SELECT 104::BIGINT AS files, count(*) AS records FROM events",
 }

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import functools
+from collections.abc import Sequence
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from harvestline import schemas
 from harvestline.functions.numeric import DEFAULT_TEMP_C, fahrenheit_to_c, precip_to_mm
@@ -18,8 +23,13 @@ LATIN_1 = "ISO-8859-1"
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, header: bool = True, **options: str
 ) -> DataFrame:
-    """CSV under a fixed schema; a cell that does not fit becomes NULL."""
-    return spark.read.schema(schema).options(header=header, **options).csv(path)
+    """CSV under a fixed schema; a cell that does not fit becomes NULL.
+
+    A file whose header has other names or another order is an error: columns are
+    never taken by place against what the header says.
+    """
+    reader = spark.read.schema(schema).options(header=header, enforceSchema=not header, **options)
+    return reader.csv(path)
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
@@ -43,21 +53,67 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     return parse_inventory(spark.read.option("header", True).csv(path))
 
 
+STATION_COLUMNS = ("DATE", "LATITUDE", "LONGITUDE", "TEMP", "PRCP")
+
+
+def files_by_header(
+    spark: SparkSession, path: str, names: Sequence[str], skip_foreign: bool = False
+) -> dict[str, list[str]]:
+    """Files of a folder by their header line, which has all the names.
+
+    Files without a line are passed over; one without such a header is an error
+    unless it is to be skipped. The file names, which Spark lists on the driver
+    anyway, are gathered there. The text is scanned once for this.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    has_names = F.lit(True)
+    for name in names:
+        has_names &= F.col("value").contains(name)
+    header = F.max(F.when(has_names, F.col("value"))).alias("header")
+    found: dict[str, list[str]] = {}
+    foreign = []
+    for file, line in lines.groupBy(F.col("_metadata.file_path")).agg(header).collect():
+        if line is None:
+            foreign.append(file)
+        else:
+            found.setdefault(line, []).append(unquote(file))
+    if foreign and not skip_foreign:
+        raise ValueError(f"{len(foreign)} files without the columns {names}, such as {foreign[0]}")
+    return found
+
+
 def read_station_files(
-    spark: SparkSession, path: str, station_pattern: str = STATION_FROM_FILE
+    spark: SparkSession,
+    path: str,
+    station_pattern: str = STATION_FROM_FILE,
+    skip_bad_files: bool = False,
 ) -> DataFrame:
     """Daily station files in metric units, the station id taken from the path.
 
-    All columns are read as text and taken by their header name; the files share
-    one layout. A row whose temperature is missing or whose numbers do not parse
-    is left out, and so is a file that cannot be read.
+    All columns are read as text and taken by the header of their own file, so
+    files may differ in layout. A row whose temperature is missing or whose
+    numbers do not parse is left out. A file that cannot be read or lacks a column
+    is an error; ``skip_bad_files`` passes over those it can tell.
     """
-    text = spark.read.options(
-        header=True, recursiveFileLookup=True, ignoreCorruptFiles=True
-    ).csv(path)
+    parts = []
+    by_header = files_by_header(spark, path, STATION_COLUMNS, skip_bad_files)
+    for header, paths in sorted(by_header.items()):
+        names = [n.strip() for n in next(csv.reader([header]))]
+        text = StructType([StructField(n, StringType()) for n in names])
+        rows = spark.read.schema(text).options(header=True, ignoreCorruptFiles=skip_bad_files)
+        parts.append(
+            rows.csv(paths).select(
+                F.regexp_extract(F.col("_metadata.file_path"), station_pattern, 1).alias(
+                    "station_id"
+                ),
+                *STATION_COLUMNS,
+            )
+        )
+    fields = StructType([StructField(n, StringType()) for n in ("station_id", *STATION_COLUMNS)])
+    text = functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], fields)
     return require(
         text.select(
-            F.regexp_extract(F.col("_metadata.file_path"), station_pattern, 1).alias("station_id"),
+            "station_id",
             F.col("DATE").alias("date"),
             F.col("LATITUDE").alias("lat"),
             F.col("LONGITUDE").alias("lon"),
@@ -69,17 +125,28 @@ def read_station_files(
     )
 
 
+def _payload_list(payload: str) -> Column:
+    """Readings of a payload, NULL if it is missing or is no JSON."""
+    text = F.trim(F.col(payload))
+    as_list = F.when(text.startswith("["), text).otherwise(
+        F.concat(F.lit("["), text, F.lit("]"))
+    )
+    return F.from_json(as_list, schemas.LIVE_PAYLOAD)
+
+
+def rejected_payloads(df: DataFrame, payload: str) -> DataFrame:
+    """Rows whose payload gives no reading; with those that do, all rows."""
+    return df.filter(F.coalesce(F.size(_payload_list(payload)), F.lit(0)) <= 0)
+
+
 def parse_live_weather(df: DataFrame, payload: str, *keep: str) -> DataFrame:
     """One row per location of a live-weather payload, in payload order.
 
     A payload is a list of objects or a single object. A missing or null
-    reading becomes 20.0 degrees or 0.0 mm.
+    reading becomes 20.0 degrees or 0.0 mm. Payloads without any reading are left
+    to ``rejected_payloads``.
     """
-    text = F.trim(F.col(payload))
-    as_list = F.when(text.startswith("["), text).otherwise(
-        F.concat(F.lit("["), text, F.lit("]"))
-    )
-    located = df.withColumn("_list", F.from_json(as_list, schemas.LIVE_PAYLOAD)).select(
+    located = df.withColumn("_list", _payload_list(payload)).select(
         *keep, F.posexplode("_list").alias("position", "reading")
     )
     temp = F.col("reading.current.temperature_2m")

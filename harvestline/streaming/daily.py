@@ -15,11 +15,14 @@ from harvestline.operators.weather import daily_summary
 
 MAX_FILES_PER_TRIGGER = 10
 VERSIONS = 3
+RUN = "run"
 EPOCH = "epoch"
+RUNS = "_runs"  # a name that readers of the table pass over
 STORED = StructType(
     [
         StructField("key", StringType()),
         *schemas.DAILY_SUMMARY.fields,
+        StructField(RUN, LongType()),
         StructField(EPOCH, LongType()),
     ]
 )
@@ -44,17 +47,53 @@ def stream_daily(obs: DataFrame) -> DataFrame:
     return daily_summary(clean_stream(obs))
 
 
-def upsert_batch(path: str):
+def run_of(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """Number of a checkpoint's run on a target: the same after a restart, rising for new ones.
+
+    Epochs begin at 0 with every checkpoint, so they order versions within a run only.
+    """
+    known = f"{path}/{RUNS}"
+    try:
+        runs = spark.read.schema("checkpoint string, run long").json(known)
+        found = runs.groupBy().agg(
+            F.max(F.when(F.col("checkpoint") == checkpoint, F.col("run"))), F.max("run")
+        ).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = (None, None)
+    if found[0] is not None:
+        return found[0]
+    run = 0 if found[1] is None else found[1] + 1
+    row = spark.createDataFrame([(checkpoint, run)], "checkpoint string, run long")
+    row.coalesce(1).write.mode("append").json(known)
+    return run
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def upsert_batch(path: str, run: int = 0, complete: bool = False, versions: int = VERSIONS):
     """Sink for ``foreachBatch``: stores a batch as the next version of its keys.
 
     Every epoch has its own folder and overwrites it, so an epoch that runs
     twice after a failure leaves one copy. Executors write in parallel, and an
     error stops the query instead of losing the batch. The batch is used once,
     since each further action would read the state again.
+
+    A ``complete`` batch holds every key, so the epoch that is ``versions`` older
+    goes once the new one is stored. A reader that opened it before may fail and
+    has to read again. Batches of changed keys are all kept; ``compact`` cuts them.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        to_kv(batch).write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+        folder = f"{path}/{RUN}={run}"
+        to_kv(batch).write.mode("overwrite").parquet(f"{folder}/{EPOCH}={epoch}")
+        if complete and epoch >= versions:
+            _delete(batch.sparkSession, f"{folder}/{EPOCH}={epoch - versions}")
 
     return write
 
@@ -62,10 +101,10 @@ def upsert_batch(path: str):
 def read_versions(
     spark: SparkSession, path: str, n: int = VERSIONS, complete: bool = False
 ) -> DataFrame:
-    """The ``n`` newest versions of every key; none before the first batch.
+    """The ``n`` newest versions of every key, by run and epoch; none before the first batch.
 
     Say ``complete`` for a sink fed in complete mode: each epoch then holds every
-    key, so only the folders of the last ``n`` epochs are opened.
+    key, so only the folders of the last ``n`` epochs of the last run are opened.
     """
     try:
         cells = spark.read.schema(STORED).parquet(path)
@@ -74,9 +113,10 @@ def read_versions(
             raise
         cells = spark.createDataFrame([], STORED)
     if complete:
-        newest = cells.agg(F.max(EPOCH)).scalar()
-        cells = cells.filter(F.col(EPOCH) > newest - n)
-    return keep_versions(cells, ["key"], [EPOCH], n)
+        newest = cells.agg(F.max(F.struct(RUN, EPOCH)).alias("last"))
+        last = newest.select(F.col("last.run")).scalar(), newest.select(F.col("last.epoch")).scalar()
+        cells = cells.filter((F.col(RUN) == last[0]) & (F.col(EPOCH) > last[1] - n))
+    return keep_versions(cells, ["key"], [RUN, EPOCH], n)
 
 
 def read_latest(spark: SparkSession, path: str, complete: bool = False) -> DataFrame:
@@ -86,7 +126,7 @@ def read_latest(spark: SparkSession, path: str, complete: bool = False) -> DataF
 def compact(spark: SparkSession, path: str, target: str, n: int = VERSIONS) -> None:
     """Write the versions worth keeping to another folder, laid out the same way."""
     kept = read_versions(spark, path, n)
-    kept.repartition(EPOCH, F.pmod(F.hash("key"), F.lit(64))).write.partitionBy(EPOCH).mode(
+    kept.repartition(RUN, EPOCH, F.pmod(F.hash("key"), F.lit(64))).write.partitionBy(RUN, EPOCH).mode(
         "overwrite"
     ).parquet(target)
 
@@ -96,17 +136,18 @@ def start_daily(
     target: str,
     checkpoint: str,
     interval_seconds: int | None = None,
-    output_mode: str = "complete",
+    output_mode: str = "update",
 ) -> StreamingQuery:
     """Start the summary; without an interval it drains the input and ends.
 
-    ``complete`` stores the whole result each time. ``update`` stores changed
-    keys only and leads to the same newest versions; take it for large state.
+    ``update`` stores changed keys only. ``complete`` stores the whole result each
+    time and keeps the last three; both lead to the same newest versions.
     """
+    run = run_of(obs.sparkSession, target, checkpoint)
     writer = (
         stream_daily(obs)
         .writeStream.outputMode(output_mode)
-        .foreachBatch(upsert_batch(target))
+        .foreachBatch(upsert_batch(target, run, output_mode == "complete"))
         .option("checkpointLocation", checkpoint)
     )
     if interval_seconds is None:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from harvestline.operators import features, joins, keyed, metrics, sets, stations, weather, yields
+from harvestline.operators import features, keyed, metrics, sets, stations, weather, yields
 from harvestline.plans import bindings
 
 JAN = [dt.date(2015, 1, 1), dt.date(2015, 1, 17), dt.date(2015, 2, 2), dt.date(2015, 3, 6)]
@@ -193,15 +193,6 @@ def test_stored_keys_are_read_from_one_bucket(spark, tmp_path):
     assert "EqualTo(key,1_2015-01-01)" in plan
 
 
-@pytest.mark.parametrize("limit", [500, 2])
-def test_checked_join_gives_the_same_rows_either_way(spark, limit):
-    large = spark.range(100).selectExpr("id % 10 as k", "id")
-    small = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k bigint, s string")
-    joined = joins.join_checked(large, small, ["k"], limit)
-    assert joined.count() == 30
-    assert ("BroadcastHashJoin" in plan_of(joined)) == (limit == 500)
-
-
 # --- stations ----------------------------------------------------------------
 
 
@@ -250,7 +241,10 @@ def test_unique_station_has_one_place(spark):
 
 def test_unlisted_station_has_the_unknown_country(spark):
     obs = spark.createDataFrame([("a",), ("b",)], "station_id string")
-    listed = spark.createDataFrame([("a", "US")], "station_id string, CTRY string")
+    listed = spark.createDataFrame(
+        [("a", "US"), ("a", "US"), ("a", "ZZ"), ("a", None), ("b", None)],
+        "station_id string, CTRY string",
+    )
     assert rows(stations.station_country(obs, listed)) == [("a", "US"), ("b", "??")]
 
 
@@ -309,17 +303,35 @@ def test_observations_fan_out_to_each_mapped_region(spark):
 
 def test_region_names_in_three_steps(spark):
     names = spark.createDataFrame(
-        [("Arkansas", 1), ("KANSAS", 2), ("North Iowa", 3), ("Old Iowa", 4), ("Nebraska State", 5)],
-        "name string, ord int",
+        [
+            ("US", "Arkansas", 1),
+            ("US", "KANSAS", 2),
+            ("US", "North Iowa", 3),
+            ("US", "Old Iowa", 4),
+            ("US", "Nebraska State", 5),
+            ("PK", "Punjab", 0),
+            ("IN", "Punjab", 9),
+            ("PK", "Ohio", 0),
+        ],
+        "country string, name string, ord int",
     )
     regions = spark.createDataFrame(
-        [(1, "Kansas"), (2, "iowa"), (3, "Nebraska Plains"), (4, "Ohio")],
-        "county_id int, name string",
+        [
+            (1, "US", "Kansas"),
+            (2, "US", "iowa"),
+            (3, "US", "Nebraska Plains"),
+            (4, "US", "Ohio"),
+            (5, "IN", "punjab"),
+            (6, "PK", "punjab west"),
+        ],
+        "county_id int, country string, name string",
     )
     assert rows(yields.match_region(regions, names)) == [
-        (1, "Kansas", 1, "KANSAS", 2),
-        (2, "iowa", 2, "North Iowa", 3),
-        (3, "Nebraska Plains", 3, "Nebraska State", 5),
+        (1, "US", "Kansas", 1, "KANSAS", 2),
+        (2, "US", "iowa", 2, "North Iowa", 3),
+        (3, "US", "Nebraska Plains", 3, "Nebraska State", 5),
+        (5, "IN", "punjab", 1, "Punjab", 9),
+        (6, "PK", "punjab west", 3, "Punjab", 0),
     ]
 
 

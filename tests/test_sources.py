@@ -73,6 +73,30 @@ def test_station_files(spark, tmp_path):
     ]
 
 
+def test_station_columns_go_by_the_header_of_their_file(spark, tmp_path):
+    put(tmp_path / "1.csv", "DATE,LATITUDE,LONGITUDE,TEMP,PRCP\n2015-01-01,1,2,50.0,0.10\n")
+    put(tmp_path / "2.csv", "PRCP,TEMP,\"DATE\",X,LONGITUDE,LATITUDE\n0.10,50.0,2015-01-01,x,2,1\n")
+    got = files.read_station_files(spark, str(tmp_path))
+    assert rows(got) == [(s, "2015-01-01", "1", "2", 10.0, 2.54) for s in ("1", "2")]
+    put(tmp_path / "3.csv", "DATE,TEMP\n2015-01-01,50.0\n")
+    with pytest.raises(ValueError, match="1 files without the columns"):
+        files.read_station_files(spark, str(tmp_path))
+    assert files.read_station_files(spark, str(tmp_path), skip_bad_files=True).count() == 2
+
+
+def test_observations_in_another_column_order_are_an_error(spark, tmp_path):
+    path = put(tmp_path / "o.csv", "county_id,date,precip_mm,temp_c\n1,2015-01-01,2.0,30.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_observations(spark, path).collect()
+
+
+def test_every_payload_is_read_or_rejected(spark):
+    texts = [(1, '[{"current":{}}]'), (2, '[{"current":{"temp'), (3, None), (4, "[]"), (5, "x")]
+    frame = spark.createDataFrame(texts, "id int, body string")
+    assert [r.id for r in files.parse_live_weather(frame, "body", "id").collect()] == [1]
+    assert sorted(r.id for r in files.rejected_payloads(frame, "body").collect()) == [2, 3, 4, 5]
+
+
 def test_payload_defaults(spark):
     texts = [
         (1, '[{"current":{"temperature_2m":1.234,"precipitation":0.5}},{"current":{}}]'),

@@ -48,9 +48,9 @@ def test_stream_equals_batch_over_restarts(spark, folders, mode):
     # The same day in a second file adds to the stored counts.
     put(folders["inbox"], "b.csv", SECOND)
     drain(spark, folders, mode)
-    streamed = daily.read_latest(spark, folders["target"]).drop("key", "epoch")
+    streamed = daily.read_latest(spark, folders["target"]).drop("key", "run", "epoch")
     latest = daily.read_latest(spark, folders["target"], complete=mode == "complete")
-    assert rows(latest.drop("key", "epoch").na.fill(-1)) == rows(streamed.na.fill(-1))
+    assert rows(latest.drop("key", "run", "epoch").na.fill(-1)) == rows(streamed.na.fill(-1))
     batch = daily_summary(clean_stream(files.read_observations(spark, folders["inbox"])))
     assert rows(streamed.na.fill(-1)) == rows(batch.na.fill(-1))
     assert (1, "2015-01-01", 15.0, 3.0, 3) in rows(streamed)
@@ -83,7 +83,7 @@ def test_at_most_so_many_files_a_batch(spark, folders):
 def test_sink_errors_end_the_query(spark, folders, monkeypatch):
     put(folders["inbox"], "a.csv", FIRST)
 
-    def broken(path):
+    def broken(*_):
         def write(batch, epoch):
             raise RuntimeError("sink is down")
 
@@ -123,7 +123,24 @@ def test_counters(spark, folders):
     incoming = spool.stream_spool(spark, folders["inbox"], max_files=1)
     query = spool.start_relay(incoming, folders["target"], folders["checkpoint"])
     daily.run(query)
-    assert spool.ingest_counters(query) == {"files": 2, "records_in": 12, "records_out": 12}
+    counted = spool.ingest_counters(spark, folders["target"], folders["checkpoint"])
+    assert rows(counted) == [(2, 12)]
+
+
+def test_a_new_checkpoint_is_newer_and_complete_keeps_three(spark, folders):
+    for name, temp in (("old", 10), ("new", 30)):
+        inbox, checkpoint = folders["inbox"] + name, folders["checkpoint"] + name
+        for i in range(5 if name == "old" else 1):
+            put(inbox, f"{i}.csv", HEAD + f"1,2015-01-01,{temp},1\n")
+        for _ in range(2):  # the second start finds nothing to do
+            incoming = daily.stream_observations(spark, inbox, max_files=1)
+            query = daily.start_daily(incoming, folders["target"], checkpoint, output_mode="complete")
+            daily.run(query)
+    for complete in (False, True):
+        (latest,) = daily.read_latest(spark, folders["target"], complete).collect()
+        assert (latest.run, latest.epoch, latest.avg_temp) == (1, 0, 30.0)
+    left = glob.glob(f"{folders['target']}/run=0/epoch=*")
+    assert sorted(os.path.basename(f) for f in left) == ["epoch=2", "epoch=3", "epoch=4"]
 
 
 def test_finished_files_are_archived(spark, folders):
