@@ -1,0 +1,94 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from harvestline.llm import toxicity
+
+from .helpers import docs, long_text
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def corpus(n=600):
+    """Toxic texts hold a nasty word; women are named in toxic texts far more often."""
+    rng = np.random.default_rng(8)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = int(rng.random() < 0.3)
+        words = [f"w{k}" for k in rng.integers(0, 400, 40)]
+        if toxic:
+            words.insert(7, f"nasty{'abcdefgh'[i % 8]}x,")
+        if rng.random() < (0.8 if toxic else 0.1):
+            words.insert(3, "Women")
+        elif rng.random() < 0.3:
+            words.insert(3, "men")
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    return rows, labels
+
+
+ODD_DOCS = [(900, None), (901, ""), (902, long_text(40_000)), (None, "nastyax"), (None, None)]
+ODD_LABELS = [(900, 1, 1), (901, None, 0), (5000, 1, 1), (None, 1, 1), (902, 0, None)]
+
+
+def test_held_out_texts_are_told_apart(spark):
+    rows, labels = corpus()
+    frame = docs(spark, rows + ODD_DOCS).withColumns({"Toxicity": F.lit("mine"), "toxic": F.lit(1)})
+    marks = spark.createDataFrame(labels + labels[:50] + ODD_LABELS, LABELS)
+    model = toxicity.fit(frame, marks)
+    found = toxicity.add_scores(frame, model)
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "toxic", "toxicity"]
+    found = found.collect()
+    assert len(found) == len(rows) + len(ODD_DOCS)
+    assert all(0 <= r.toxicity <= 1 for r in found)
+    truth = {i: t for i, _, t in labels}
+    held = [r for r in found if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    right = sum((r.toxicity >= 0.5) == truth[r.doc_id] for r in held)
+    assert len(held) > 80 and right >= 0.97 * len(held)
+
+
+def test_naming_a_group_does_not_count(spark):
+    rows, labels = corpus()
+    frame, marks = docs(spark, rows), spark.createDataFrame(labels, LABELS)
+    texts = pa.array(["w1 women w2", "w1 men w2"])
+    unfair = toxicity.fit(frame, marks, fairness=0.0).logits(texts)
+    fair = toxicity.fit(frame, marks, fairness=50.0).logits(texts)
+    assert unfair[0] - unfair[1] > 1
+    assert abs(fair[0] - fair[1]) < 0.2 * (unfair[0] - unfair[1])
+
+
+def test_swaps_take_the_term_away_and_add_another():
+    held, gone, came = toxicity.text_features(pa.array(["The Women, spoke", "plain", None]))
+    assert set(gone[0]) == set(toxicity.feature_hashes("women")) <= set(held[0])
+    others = [toxicity.feature_hashes(t) for t in toxicity.OTHERS["women"]]
+    assert came[0] in others
+    assert (gone[1:], came[1:], held[2]) == ([[], []], [[], []], [])
+
+
+def test_rejected_documents_go(spark):
+    rows, labels = corpus()
+    frame = docs(spark, rows + ODD_DOCS)
+    kept = toxicity.drop_toxic(frame, spark.createDataFrame(labels, LABELS))
+    assert kept.columns == frame.columns
+    ids = {r.doc_id for r in kept.collect()}
+    bad = {i for i, _, t in labels if t}
+    assert len(ids & bad) <= 0.02 * len(bad)
+    assert len(ids - bad) >= 0.99 * (len(labels) - len(bad))
+
+
+def test_no_labels_and_no_rows(spark):
+    frame = docs(spark, [(1, "a b"), (2, None)])
+    none = spark.createDataFrame([], LABELS)
+    scores = toxicity.add_scores(frame, toxicity.fit(frame, none)).collect()
+    assert [r.toxicity for r in scores] == [0.5, 0.5]
+    empty = docs(spark, [])
+    assert toxicity.add_scores(empty, toxicity.fit(empty, none)).count() == 0
+
+
+def test_bound_of_the_training_rows(spark):
+    rows, labels = corpus(200)
+    frame, marks = docs(spark, rows), spark.createDataFrame(labels, LABELS)
+    small = toxicity.fit(frame, marks, max_train=60, max_features=30)
+    assert 0 < len(small.features) <= 30 + sum(len(toxicity.feature_hashes(t)) for t in toxicity.OTHERS)
