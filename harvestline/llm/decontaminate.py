@@ -37,6 +37,7 @@ WORDS = 3  # words of a seed
 RARE_SHARE = 1e-3
 MIN_SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
+SALTS = 8  # parts of the hits of an n-gram
 BITS = 26  # the bitmap has 2**BITS bits, 8 MB
 KEY_SEED = 42
 _SPACES = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
@@ -78,9 +79,9 @@ def seeds_of(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_arrow(bench.select(id_col, text_col), rows, f"item_id {kind}, gram long, at long")
 
 
-def bitmap(seeds: DataFrame) -> np.ndarray:
-    """Bits of all seed hashes, as bytes; gathered by 64-bit word, 2**(BITS - 6) at most."""
-    place = seeds.select(F.shiftrightunsigned("gram", 64 - BITS).alias("p"))
+def bitmap(hashes: DataFrame, name: str) -> np.ndarray:
+    """Bits of all hashes, as bytes; gathered by 64-bit word, 2**(BITS - 6) at most."""
+    place = hashes.select(F.shiftrightunsigned(name, 64 - BITS).alias("p"))
     by_word = (
         place.groupBy(F.shiftright("p", 6).alias("w"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
@@ -91,6 +92,34 @@ def bitmap(seeds: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the (unsigned) hashes that are in the bitmap."""
+    place = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    return np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+
+
+def keyed_texts(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id``, ``text``, ``doc_key`` of the documents whose key may be among ``keys``.
+
+    Looked up in a bitmap of fixed size, so that only they are shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(keys, "doc_key"))
+
+    def rows(batches: Batches) -> Batches:
+        for batch in batches:
+            made = [xxhash.xxh64_intdigest(t, KEY_SEED) for t in text_bytes(batch.column(1))]
+            key = np.array(made, dtype=np.uint64)
+            where = pa.array(in_bitmap(shared.value, key))
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(where) for c in batch.columns), pa.array(key.view(np.int64)).take(where)],
+                ["_id", "text", "doc_key"],
+            )
+
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    schema = StructType([*texts.schema.fields, StructField("doc_key", LongType())])
+    return map_arrow(texts, rows, schema)
+
+
 HITS = ArrayType(
     StructType([StructField("pos", IntegerType()), StructField("gram", LongType())])
 )
@@ -101,14 +130,11 @@ def seed_hits(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str) ->
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def rows(batches: Batches) -> Batches:
-        held = shared.value
-        shift = np.uint64(64 - BITS)
         for batch in batches:
             ids, keys, pos, gram, ends = [], [], [], [], [0]
             for k, raw in enumerate(text_bytes(batch.column(1))):
                 made = grams(codes(words(raw.decode())))
-                place = (made >> shift).astype(np.int64)
-                hit = np.flatnonzero((held[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+                hit = in_bitmap(shared.value, made)
                 if len(hit):
                     ids.append(k)
                     keys.append(xxhash.xxh64_intdigest(raw, KEY_SEED))
@@ -212,14 +238,17 @@ def leaks(
     )
     items = keep(items, "items")
     seeds = keep(seeds_of(items, "item_id", "item_text"), "seeds")
-    hits = keep(seed_hits(docs, bitmap(seeds), id_col, text_col), "seed-hits")
+    hits = keep(seed_hits(docs, bitmap(seeds, "gram"), id_col, text_col), "seed-hits")
     flat = hits.select("doc_id", "doc_key", F.explode("hits").alias("h")).select(
         "doc_id", "doc_key", "h.pos", "h.gram"
     )
     spread = flat.distinct().groupBy("gram").agg(F.count("*").alias("df"))
     rare = keep(seeds.join(spread, "gram"), "seed-counts")
     n_docs = docs.count()
-    shared = flat.join(rare, "gram")
+    # A passage in very many documents has its n-grams there too: they are dealt out.
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    dealt = flat.withColumn("salt", F.pmod(F.xxhash64("doc_key"), F.lit(SALTS)).cast("int"))
+    shared = dealt.join(rare.withColumn("salt", F.explode(salts)), ["gram", "salt"])
     candidates = (
         shared.groupBy("doc_id", "doc_key", "item_id")
         .agg(
@@ -235,11 +264,7 @@ def leaks(
         F.collect_list(F.struct("item_id", "item_text", "shifts")).alias("items")
     )
     told = keep(told, "told")
-    texts = docs.select(
-        F.col(id_col).alias("_id"),
-        F.col(text_col).alias("text"),
-        F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("doc_key"),
-    )
+    texts = keyed_texts(docs, told, id_col, text_col)
     same = (texts["doc_key"] == told["doc_key"]) & texts["_id"].eqNullSafe(told["doc_id"])
     rows = texts.join(told, same).select("doc_id", told["doc_key"], "text", "items")
     kinds = {"doc": docs.schema[id_col].dataType, "item": bench.schema[item_col].dataType}
