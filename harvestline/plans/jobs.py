@@ -12,12 +12,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harvestline.functions.calendar import date_from_filename
 from harvestline.functions.geometry import (
     MODIS_GRID,
     RasterGrid,
     centroid,
     fallback_polygon,
     project_geometry,
+    tile_index,
 )
 from harvestline.functions.keys import STATION_COUNTRY, map_country, station_id
 from harvestline.functions.numeric import coerce_double
@@ -26,6 +28,7 @@ from harvestline.operators import features, keyed, metrics, raster, sets, statio
 from harvestline.operators.cleaning import require
 from harvestline.session import stored
 from harvestline.sources import files, tables
+from harvestline.streaming import daily, spool
 
 # The regions of interest by country.
 TARGET_REGIONS = {
@@ -79,7 +82,11 @@ def consolidate_stations(spark: SparkSession, path: str, selected: DataFrame) ->
 
 
 def prepare_weather(consolidated: DataFrame, counties: DataFrame) -> DataFrame:
-    """Daily observations of every region, taken from its nearest station."""
+    """Daily observations of every region, taken from its nearest station.
+
+    The station text is parsed once; both the search and the fan-out read the
+    stored rows.
+    """
     placed = require(
         consolidated.withColumns(
             {"lat": coerce_double(F.col("lat")), "lon": coerce_double(F.col("lon"))}
@@ -89,6 +96,7 @@ def prepare_weather(consolidated: DataFrame, counties: DataFrame) -> DataFrame:
         "temp_c",
         "date",
     )
+    placed = stored(placed, "station-observations")
     centres = counties.withColumn("c", centroid(F.col("geom"))).select(
         "county_id",
         F.coalesce(map_country(F.col("country"), STATION_COUNTRY), F.lit("")).alias("country"),
@@ -105,11 +113,15 @@ def prepare_yields(
     counties: DataFrame,
     current: DataFrame,
     areas: dict[str, str] = FAO_COUNTRY,
+    years: Sequence[int] | None = None,
 ) -> DataFrame:
     """Yield table with the regional yields that were not stored yet.
 
-    Several items may name one crop; the first by item name counts.
+    Several items may name one crop; the first by item name counts. With
+    ``years`` the bulk file is first cut to the wanted years, crops and measures.
     """
+    if years is not None:
+        fao = yields.filter_fao(fao, years, areas=tuple(areas))
     national = yields.national_yields(fao.filter(F.col("Area").isin(*areas))).withColumn(
         "country", map_country(F.col("area"), areas)
     )
@@ -122,20 +134,102 @@ def prepare_yields(
     return keyed.insert_absent(current, fresh, ["county_id", "crop", "year"], ["yield_mt_ha"])
 
 
+def raster_lines(lines: DataFrame) -> DataFrame:
+    """Raster lines with date and tile from the file name; files without them are left out.
+
+    ``lines``: file, line, raw.
+    """
+    tile = tile_index(F.col("file"))
+    named = lines.withColumns(
+        {
+            "date": date_from_filename(F.col("file")),
+            "tile_h": tile["h"],
+            "tile_v": tile["v"],
+        }
+    )
+    return require(named, "date", "tile_h", "tile_v")
+
+
+def ingest_rasters(
+    spark: SparkSession,
+    lines: DataFrame,
+    counties: DataFrame,
+    samples: str,
+    seen: str,
+    grid: RasterGrid = MODIS_GRID,
+) -> DataFrame:
+    """Append the samples of raster files not seen before; returns all samples.
+
+    ``samples`` and ``seen`` are tables that grow. The file list goes last, so a
+    run that fails before repeats its files; files without any sample count as seen.
+    """
+    known = tables.read_or_empty(spark, seen, "file string")
+    dated = raster_lines(lines)
+    files_ = stored(dated.select("file").distinct(), "raster-files")
+    new = stored(sets.unseen(files_, known, "file"), "new-rasters")
+    found = prepare_ndvi(dated, counties, known, grid, new)
+    found.write.mode("append").parquet(samples)
+    new.write.mode("append").parquet(seen)
+    return spark.read.parquet(samples)
+
+
 def prepare_ndvi(
-    lines: DataFrame, counties: DataFrame, seen: DataFrame, grid: RasterGrid = MODIS_GRID
+    lines: DataFrame,
+    counties: DataFrame,
+    seen: DataFrame,
+    grid: RasterGrid = MODIS_GRID,
+    new: DataFrame | None = None,
 ) -> DataFrame:
     """Vegetation samples per region, tile and date from raster files not seen before.
 
-    New files are found from the file names alone, before any line is read.
+    New files are found from the file names alone, before any line is read, unless
+    they are given as ``new``.
     """
     zones = counties.select("county_id", project_geometry(F.col("geom")).alias("geom"))
-    new = sets.unseen(lines.select("file").distinct(), seen, "file")
+    if new is None:
+        new = sets.unseen(lines.select("file").distinct(), seen, "file")
     return raster.zonal_stats(lines.join(new, "file", "left_semi"), zones, grid).select(
         "county_id", "date", F.lit(0).alias("pixel_x"), F.lit(0).alias("pixel_y"), "ndvi"
     )
 
 
+# --- monitoring --------------------------------------------------------------
+
+
+def run_monitoring(
+    spark: SparkSession,
+    inbox: str,
+    relayed: str,
+    target: str,
+    checkpoints: str,
+    archive: str | None = None,
+    interval_seconds: int | None = None,
+    duration_seconds: float | None = None,
+) -> DataFrame:
+    """Spooled files relayed, summed up by day and stored as versions; returns the newest.
+
+    Without an interval both streams drain what is there and end. With one they
+    run until ``duration_seconds`` are over; the summary takes up relayed files as
+    they are committed. An error of either stream is raised.
+    """
+    relay = spool.start_relay(
+        spool.stream_spool(spark, inbox, archive),
+        relayed,
+        f"{checkpoints}/relay",
+        interval_seconds,
+    )
+    if interval_seconds is None:
+        daily.run(relay)
+    summary = daily.start_daily(
+        daily.stream_observations(spark, relayed), target, f"{checkpoints}/daily", interval_seconds
+    )
+    try:
+        daily.run(summary, duration_seconds)
+    finally:
+        relay.stop()
+    return daily.read_latest(spark, target)
+
+
 # --- batch features ----------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 ORC = "orc"
@@ -84,3 +85,13 @@ def jdbc_writer(df: DataFrame, target: JdbcTable, truncate: bool = False) -> Dat
 
 def write_table(df: DataFrame, target: JdbcTable, truncate: bool = False) -> None:
     jdbc_writer(df, target, truncate).save()
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of files, with no rows before it is first written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

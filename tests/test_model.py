@@ -128,8 +128,8 @@ def test_batch_and_training_jobs(spark, tmp_path, monkeypatch):
 def test_ingest_jobs(spark, tmp_path):
     square = [[[(-98.0, 38.0), (-97.0, 38.0), (-97.0, 39.0), (-98.0, 39.0), (-98.0, 38.0)]]]
     boundaries = spark.createDataFrame(
-        [("Arkansas", 1, None), ("Kansas", 2, square)],
-        f"name string, ord int, geom {schemas.MULTIPOLYGON.simpleString()}",
+        [("IND", "Iowa", 0, square), ("USA", "Arkansas", 1, None), ("USA", "Kansas", 2, square)],
+        f"country string, name string, ord int, geom {schemas.MULTIPOLYGON.simpleString()}",
     )
     counties = jobs.build_counties(jobs.target_regions(spark), boundaries)
     outlines = {r.name: r.geom for r in counties.collect()}
@@ -167,6 +167,7 @@ def test_ingest_jobs(spark, tmp_path):
     assert {(r.county_id, r.crop, r.year) for r in harvest.collect()} == {
         (i, "Maize", 2015) for i in range(1, 6)
     }
+    assert jobs.prepare_yields(fao, counties, stored, years=[2014]).count() == 0
     again = jobs.prepare_yields(fao, counties, harvest)
     assert again.count() == 5
 
@@ -181,3 +182,25 @@ def test_ingest_jobs(spark, tmp_path):
     assert samples.count() == 5
     half = jobs.prepare_ndvi(lines, counties, lines.filter("file = 'f0'"), grid)
     assert half.count() <= samples.count()
+
+    named = lines.select(
+        F.expr("concat('M.A201500', 1 + line % 2, '.h00v00.x')").alias("file"), "line", "raw"
+    ).union(lines.selectExpr("'undated.h00v00.x'", "line", "raw"))
+    paths = str(tmp_path / "samples"), str(tmp_path / "seen")
+    for rows in (named.filter("file NOT LIKE '%A2015002%'"), named, named):
+        found = jobs.ingest_rasters(spark, rows, counties, *paths, grid)
+    assert {(r.county_id, str(r.date)) for r in found.collect()} == {
+        (i, f"2015-01-0{d}") for i in range(1, 6) for d in (1, 2)
+    }
+    assert found.count() == 10
+
+
+def test_monitoring_job(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("county_id,date,temp_c,precip_mm\n1,2015-01-01,10,1\n")
+    where = [str(tmp_path / n) for n in ("inbox", "relayed", "target", "checkpoints")]
+    assert [r.avg_temp for r in jobs.run_monitoring(spark, *where).collect()] == [10.0]
+    (inbox / "b.csv").write_text("county_id,date,temp_c,precip_mm\n1,2015-01-01,20,1\n")
+    latest = jobs.run_monitoring(spark, *where, interval_seconds=1, duration_seconds=12)
+    assert [r.avg_temp for r in latest.collect()] == [15.0]
