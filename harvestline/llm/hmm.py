@@ -54,11 +54,13 @@ UNKNOWN, END = 0, 1
 FIRST_TOP = 2
 FIRST_SUFFIX = FIRST_TOP + TOP
 CLASSES = FIRST_SUFFIX + SUFFIXES
-ITERATIONS = 6
+ITERATIONS = 5
 STAY = 0.98  # first chance to stay in a state
 PRIOR = 300.0  # pseudo-counts of a state, spread as the unigram model has its classes
 SEED = 5
-TOKENS_AT_ONCE = 1 << 19
+TRAINED_AT_ONCE = 1 << 19  # tokens; their states are held for the way back
+SCORED_AT_ONCE = 1 << 22
+PART = 2048  # longest run of tokens that is trained on as one
 FIXED_POINT = 1 << 16  # counts are summed as whole numbers, so in any order alike
 END_TOKEN = xxhash.xxh64_intdigest(b" end of text ") - (1 << 63)  # a word has no blank
 
@@ -245,18 +247,17 @@ def start_model(plain: np.ndarray, unknown: float) -> Model:
 
 
 def in_parts(column: pa.Array) -> list[np.ndarray]:
-    """Class sequences to train on; one of over ``TOKENS_AT_ONCE`` counts as several."""
+    """Class sequences to train on; one of over ``PART`` tokens counts as several."""
     held = [np.frombuffer(b, dtype="<i2") for b in column.to_pylist()]
-    starts = ((h, i) for h in held for i in range(0, len(h), TOKENS_AT_ONCE))
-    return [h[i : i + TOKENS_AT_ONCE] for h, i in starts]
+    return [h[i : i + PART] for h in held for i in range(0, len(h), PART)]
 
 
-def lanes(held: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def lanes(held: list[np.ndarray], at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts of like length side by side: their places, class by step and text, lengths."""
     order = sorted(range(len(held)), key=lambda i: -len(held[i]))
     while order:
         longest = len(held[order[0]])
-        count = max(1, TOKENS_AT_ONCE // longest)
+        count = max(1, at_once // longest)
         part, order = order[:count], order[count:]
         steps = np.zeros((longest, len(part)), dtype=np.int16)
         for lane, i in enumerate(part):
@@ -316,7 +317,7 @@ def counts_of(trained: DataFrame, model: Model) -> np.ndarray:
     def rows(batches: Batches) -> Batches:
         total = np.zeros(cells)
         for batch in batches:
-            for _, steps, size in lanes(in_parts(batch.column(0))):
+            for _, steps, size in lanes(in_parts(batch.column(0)), TRAINED_AT_ONCE):
                 found = expected(shared.value, steps, size)
                 total += np.concatenate([f.ravel() for f in found])
         whole = np.rint(total * FIXED_POINT).astype(np.int64)
@@ -356,7 +357,7 @@ def gains(model: Model, column: pa.Array) -> np.ndarray:
     """What each class sequence gains in log10 on independent classes."""
     result = np.zeros(len(column))
     held = [np.frombuffer(b, dtype="<i2") for b in column.to_pylist()]
-    for part, steps, size in lanes(held):
+    for part, steps, size in lanes(held, SCORED_AT_ONCE):
         scale, _ = forward(model, steps, size)
         plain = np.where(np.arange(len(steps))[:, None] < size, model.plain[steps], 0.0)
         result[part] = np.log10(scale).sum(axis=0) - plain.sum(axis=0)

@@ -4,17 +4,17 @@ A line is its set of lower-case words. Two lines match if the Jaccard similarity
 of their sets is at least 4/5, and a line goes if any line before it matches, in
 order of document id and place, whether that line stays or not.
 
-Lines with equal sets are counted once, at their first place. The words of a set
-are ordered by rarity, and sets that match share one of their rarest words (their
+Equal lines are counted once, at their first place. The words of a line are
+ordered by rarity, and lines that match share one of their rarest words (their
 prefixes). Pairs that meet there are cut by length and by the place of the shared
-word, then verified on the words themselves. First each set is held against the
-first set that has the same prefix word: of a large group of near copies nearly
+word, then verified on the words themselves. First each line is held against the
+first line that has the same prefix word: of a large group of near copies nearly
 all find a match there, without pairs among them. Those that found none are then
-held against all earlier sets with the same prefix word.
+held against all earlier lines with the same prefix word.
 
-Rarity is the number of sets whose words fall into a bucket of hashes. The number
-of buckets is fixed, so the table of ranks that goes to all tasks is too; any
-order gives the same result. SQL functions only.
+Rarity is the number of words in different lines that fall into a bucket of
+hashes. The number of buckets is fixed, so the table of ranks that goes to all
+tasks is too; any order gives the same result. SQL functions only.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from harvestline.llm.common import keep, without
 
 PART, WHOLE = 4, 5  # the least similarity, as a fraction
-BUCKET_BITS = 15
+BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
-FEWEST_WORDS = PART  # smaller sets match equal sets only
+SPACE = r"[\x20\x09-\x0D]+"
 LINE = "\n"
 PLACE = ("none", "id", "pos")
 LINES, REMOVED = "n_lines", "n_removed"
@@ -38,8 +38,8 @@ def ceil_div(a: Column, b: int) -> Column:
 
 
 def words(line: Column) -> Column:
-    """Different lower-case words of a line."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), ""))
+    """Different words of a lower-case line."""
+    return F.array_distinct(F.array_remove(F.split(line, SPACE), ""))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -53,43 +53,40 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def lines(texts: DataFrame) -> DataFrame:
-    """All lines with words: their place, their words and two hashes of the set."""
+    """All lines with words, lower-case: their place and a hash of 128 bits."""
     each = texts.select("none", "id", "doc_key", F.posexplode(F.split("text", LINE)))
-    worded = each.select(
-        "none", "id", "doc_key", F.col("pos"), words(F.col("col")).alias("words")
-    ).where(F.size("words") > 0)
-    hashed = worded.withColumn(
-        "hashes", F.sort_array(F.transform("words", lambda w: F.xxhash64(w)))
+    lowered = each.select("none", "id", "doc_key", "pos", F.lower("col").alias("line"))
+    return lowered.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumns(
+        {"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(1), F.col("line"))}
     )
-    return hashed.withColumns(
-        {"k1": F.xxhash64("hashes"), "k2": F.xxhash64(F.lit(1), F.col("hashes"))}
-    ).drop("hashes")
 
 
-def line_sets(found: DataFrame) -> DataFrame:
-    """Different sets ``s`` with their first place and their words."""
+def distinct_lines(found: DataFrame) -> DataFrame:
+    """Different lines ``s`` with their first place."""
     return (
         found.groupBy("k1", "k2")
-        .agg(F.min(F.struct(*PLACE)).alias("place"), F.any_value("words").alias("words"))
-        .select("k1", "k2", "place.*", "words", F.monotonically_increasing_id().alias("s"))
+        .agg(F.min(F.struct(*PLACE)).alias("place"), F.any_value("line").alias("line"))
+        .select("k1", "k2", "place.*", "line", F.monotonically_increasing_id().alias("s"))
     )
 
 
-def bucket_ranks(sets: DataFrame) -> DataFrame:
-    """One row: the rank by rarity of every bucket, rarest first, as an array by bucket."""
+def bucket_ranks(distinct: DataFrame) -> Column:
+    """The rank by rarity of every bucket of word hashes, rarest first, as a constant array.
+
+    The counts of the buckets, whose number is fixed, pass through the driver.
+    """
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1))
-    used = sets.select(F.explode("words").alias("w")).groupBy(bucket.alias("b")).count()
-    every = sets.sparkSession.range(BUCKETS).select(F.col("id").alias("b"), F.lit(0).alias("count"))
-    counts = used.union(every).groupBy("b").agg(F.sum("count").alias("n"))
-    by_count = F.sort_array(F.collect_list(F.struct("n", "b")))
-    ranked = F.sort_array(
-        F.transform(by_count, lambda x, i: F.struct(x["b"].alias("b"), i.alias("rank")))
-    )
-    return counts.agg(F.transform(ranked, lambda x: x["rank"]).alias("ranks"))
+    each = distinct.select(F.explode(F.split("line", SPACE)).alias("w"))
+    counts = {r.b: r["count"] for r in each.groupBy(bucket.alias("b")).count().collect()}
+    order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
+    ranks = [0] * BUCKETS
+    for rank, b in enumerate(order):
+        ranks[b] = rank
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
-def prefixes(sets: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Rows of the rarest words of each set: ``word``, its place ``i`` of ``n``, the set.
+def prefixes(distinct: DataFrame, ranks: Column) -> DataFrame:
+    """Rows of the rarest words of each line: ``word``, its place ``i`` of ``n``, the line.
 
     A word stands for itself by its hash, the rank of its bucket in front, so that
     the order of the numbers is that of rarity.
@@ -99,20 +96,22 @@ def prefixes(sets: DataFrame, ranks: DataFrame) -> DataFrame:
     def code(word: Column) -> Column:
         hashed = F.xxhash64(word)
         bucket = hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-        rank = F.element_at(F.col("ranks"), bucket + 1) - BUCKETS // 2
+        rank = F.element_at(ranks, bucket + 1) - BUCKETS // 2
         return F.shiftleft(rank.cast("long"), rest).bitwiseOR(
             F.shiftrightunsigned(hashed, BUCKET_BITS)
         )
 
-    n = F.size("words")
-    coded = (
-        sets.where(n >= FEWEST_WORDS)
-        .select("s", *PLACE, "words", n.alias("n"), ranks.scalar().alias("ranks"))
-        .select("s", *PLACE, "n", F.sort_array(F.transform("words", code)).alias("codes"))
+    codes = F.transform(F.split("line", SPACE), code)
+    coded = distinct.select(
+        "s", *PLACE, F.sort_array(F.array_distinct(F.array_remove(codes, code(F.lit(""))))).alias("codes")
     )
-    kept = F.col("n") - ceil_div(F.col("n") * PART, WHOLE) + 1
+    n = F.size("codes")
+    kept = n - ceil_div(n * PART, WHOLE) + 1
     return coded.select(
-        "s", *PLACE, "n", F.posexplode(F.slice("codes", F.lit(1), kept)).alias("i", "word")
+        "s",
+        *PLACE,
+        n.alias("n"),
+        F.posexplode(F.slice("codes", F.lit(1), kept)).alias("i", "word"),
     )
 
 
@@ -123,39 +122,40 @@ def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
     return alike & (F.least(n - i, m - j) >= needed)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Sets ``s`` of the pairs ``s``, ``t`` that are similar enough."""
+def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Lines ``s`` of the pairs ``s``, ``t`` that are similar enough."""
     asked = pairs.select("s").union(pairs.select("t")).distinct()
     held = keep(
-        sets.select("s", "words").join(keep(asked, "asked").hint("merge"), "s", "left_semi"),
-        "asked-sets",
+        distinct.select("s", "line").join(keep(asked, "asked").hint("merge"), "s", "left_semi"),
+        "asked-lines",
     )
-    other = held.select(F.col("s").alias("t"), F.col("words").alias("others"))
-    both = pairs.join(held.hint("merge"), "s").join(other.hint("merge"), "t")
-    shared = F.size(F.array_intersect("words", "others"))
-    union = F.size("words") + F.size("others") - shared
+    other = held.select(F.col("s").alias("t"), F.col("line").alias("other"))
+    both = (
+        pairs.join(held.hint("merge"), "s")
+        .join(other.hint("merge"), "t")
+        .select("s", words(F.col("line")).alias("a"), words(F.col("other")).alias("b"))
+    )
+    shared = F.size(F.array_intersect("a", "b"))
+    union = F.size("a") + F.size("b") - shared
     return keep(both.where(shared * WHOLE >= union * PART).select("s").distinct(), "matched")
 
 
-def matched_sets(sets: DataFrame) -> DataFrame:
-    """Sets ``s`` that match a set whose first place is earlier."""
-    ranks = keep(bucket_ranks(sets), "ranks")
+def matched_lines(distinct: DataFrame) -> DataFrame:
+    """Lines ``s`` that match another line whose first place is earlier."""
+    prefix = keep(prefixes(distinct, bucket_ranks(distinct)), "prefixes")
     first = (
-        prefixes(sets, ranks)
-        .groupBy("word")
-        .agg(F.min(F.struct(*PLACE, "s", "n", "i")).alias("first"), F.count("*").alias("sets"))
-        .where("sets > 1")
+        prefix.groupBy("word")
+        .agg(F.min(F.struct(*PLACE, "s", "n", "i")).alias("first"), F.count("*").alias("lines"))
+        .where("lines > 1")
         .select("word", "first")
     )
-    first = keep(first, "first-sets")
-    # Rows of words in one set only end here.
-    shared = keep(
-        prefixes(sets, ranks).join(first.hint("merge"), "word"), "shared-words"
-    )
+    first = keep(first, "first-lines")
+    # Rows of words in one line only end here.
+    shared = keep(prefix.join(first.hint("merge"), "word"), "shared-words")
     near = _may_match(F.col("n"), F.col("i"), F.col("first.n"), F.col("first.i"))
     pairs = shared.where((F.col("s") != F.col("first.s")) & near)
     pairs = keep(pairs.select("s", F.col("first.s").alias("t")).distinct(), "first-pairs")
-    matched = _verified(pairs, sets)
+    matched = _verified(pairs, distinct)
 
     own = F.struct(*PLACE)
     probes = shared.join(matched, "s", "left_anti").select(
@@ -175,7 +175,7 @@ def matched_sets(sets: DataFrame) -> DataFrame:
         & _may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j"))
     )
     pairs = keep(met.select("s", "t").distinct(), "pairs")
-    return matched.union(_verified(pairs, sets)).distinct()
+    return matched.union(_verified(pairs, distinct)).distinct()
 
 
 def dedup_lines(
@@ -191,17 +191,17 @@ def dedup_lines(
     """
     docs = without(docs, LINES, REMOVED, "_hl_none", "_hl_id", "_hl_key", "_hl_gone")
     texts = _texts(docs, id_col, text_col)
-    sets = keep(line_sets(lines(texts)), "line-sets")
-    matched = keep(matched_sets(sets), "matched-sets")
+    distinct = keep(distinct_lines(lines(texts)), "distinct-lines")
+    matched = matched_lines(distinct)
     fate = keep(
-        sets.select("s", "k1", "k2", F.struct(*PLACE).alias("first")).join(
+        distinct.select("s", "k1", "k2", F.struct(*PLACE).alias("first")).join(
             matched.withColumn("matched", F.lit(True)).hint("merge"), "s", "left"
         ),
         "fate",
     )
     gone = (
         lines(texts)
-        .drop("words")
+        .drop("line")
         .join(fate.hint("merge"), ["k1", "k2"])
         .where((F.struct(*PLACE) > F.col("first")) | F.col("matched"))
         .groupBy("none", "id", "doc_key")
