@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql.types import StructField, StructType
 from harvestline.session import scratch_path
 
 Batches = Iterator[pa.RecordBatch]
+CLEANER_SECONDS = 0.3
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -34,8 +36,10 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner, which works beside, drop what nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(CLEANER_SECONDS)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

@@ -6,27 +6,29 @@ order of document id and place, whether that line stays or not.
 
 Equal lines are counted once, at their first place. The words of a line are
 ordered by rarity, and lines that match share one of their rarest words (their
-prefixes). Pairs that meet there are cut by length and by the place of the shared
-word, then verified on the words themselves. First each line is held against the
+prefixes). Pairs that meet there are cut by length, by the place of the shared word
+and by a bitmap of the words (all three never lose a match), then verified on the words themselves. First each line is held against the
 first line that has the same prefix word: of a large group of near copies nearly
 all find a match there, without pairs among them. Those that found none are then
 held against all earlier lines with the same prefix word.
 
 Rarity is the number of words in different lines that fall into a bucket of
-hashes. The number of buckets is fixed, so the table of ranks that goes to all
-tasks is too; any order gives the same result. SQL functions only.
+hashes. The number of buckets is fixed, so the constant that goes to all tasks
+is too; any order gives the same result. SQL functions only.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestline.llm.common import keep, without
 
 PART, WHOLE = 4, 5  # the least similarity, as a fraction
-BUCKET_BITS = 13
-BUCKETS = 1 << BUCKET_BITS
+BUCKETS = 1 << 17
+CLASS_BITS = 6
+CLASSES, STEPS, FIRST_LETTER = 1 << CLASS_BITS, 3, 33
 SPACE = r"[\x20\x09-\x0D]+"
 LINE = "\n"
 PLACE = ("none", "id", "pos")
@@ -62,64 +64,90 @@ def lines(texts: DataFrame) -> DataFrame:
 
 
 def distinct_lines(found: DataFrame) -> DataFrame:
-    """Different lines ``s`` with their first place."""
-    return (
-        found.groupBy("k1", "k2")
-        .agg(F.min(F.struct(*PLACE)).alias("place"), F.any_value("line").alias("line"))
-        .select("k1", "k2", "place.*", "line", F.monotonically_increasing_id().alias("s"))
+    """Different lines, numbered ``s`` in order of their first place."""
+    grouped = found.groupBy("k1", "k2").agg(
+        F.min(F.struct(*PLACE)).alias("first"), F.any_value("line").alias("line")
     )
+    ordered = grouped.repartitionByRange("first").sortWithinPartitions("first")
+    return ordered.withColumn("s", F.monotonically_increasing_id())
 
 
-def bucket_ranks(distinct: DataFrame) -> Column:
-    """The rank by rarity of every bucket of word hashes, rarest first, as a constant array.
+def bucket_classes(distinct: DataFrame) -> Column:
+    """How common the words of every bucket of word hashes are, a letter a bucket.
 
-    The counts of the buckets, whose number is fixed, pass through the driver.
+    A constant of ``BUCKETS`` bytes; the counts, one a bucket, pass through the driver.
+    Letters rise with the logarithm of the count.
     """
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1))
     each = distinct.select(F.explode(F.split("line", SPACE)).alias("w"))
-    counts = {r.b: r["count"] for r in each.groupBy(bucket.alias("b")).count().collect()}
-    order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
-    ranks = [0] * BUCKETS
-    for rank, b in enumerate(order):
-        ranks[b] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+    found = each.groupBy(bucket.alias("b")).count().toArrow()
+    counts = np.zeros(BUCKETS)
+    counts[found["b"].to_numpy()] = found["count"].to_numpy()
+    classes = np.minimum(CLASSES - 1, STEPS * np.log2(1 + counts)).astype(np.uint8) + FIRST_LETTER
+    return F.lit(classes.tobytes().decode("ascii")).cast("binary")
 
 
-def prefixes(distinct: DataFrame, ranks: Column) -> DataFrame:
+def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     """Rows of the rarest words of each line: ``word``, its place ``i`` of ``n``, the line.
 
-    A word stands for itself by its hash, the rank of its bucket in front, so that
+    A word stands for itself by its hash, the class of its bucket in front, so that
     the order of the numbers is that of rarity.
     """
-    rest = 64 - BUCKET_BITS
 
     def code(word: Column) -> Column:
         hashed = F.xxhash64(word)
         bucket = hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-        rank = F.element_at(ranks, bucket + 1) - BUCKETS // 2
-        return F.shiftleft(rank.cast("long"), rest).bitwiseOR(
-            F.shiftrightunsigned(hashed, BUCKET_BITS)
+        letter = F.substr(classes, bucket + 1, F.lit(1)).cast("string")
+        class_ = (F.ascii(letter) - FIRST_LETTER).cast("long")
+        return F.shiftleft(class_, 63 - CLASS_BITS).bitwiseOR(
+            F.shiftrightunsigned(hashed, CLASS_BITS + 1)
+        )
+
+    def bits(half: int) -> Column:
+        """One bit a word, in the half its hash picks: equal words set equal bits."""
+        mine = F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(1)) == half)
+        one = F.lit(1).cast("long")
+        return F.aggregate(
+            mine,
+            F.lit(0).cast("long"),
+            lambda acc, c: acc.bitwiseOR(
+                F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
+            ),
         )
 
     codes = F.transform(F.split("line", SPACE), code)
     coded = distinct.select(
-        "s", *PLACE, F.sort_array(F.array_distinct(F.array_remove(codes, code(F.lit(""))))).alias("codes")
+        # One row from one: the codes are used several times and made once.
+        "s",
+        F.explode(
+            F.array(F.sort_array(F.array_distinct(F.array_remove(codes, code(F.lit(""))))))
+        ).alias("codes"),
     )
     n = F.size("codes")
     kept = n - ceil_div(n * PART, WHOLE) + 1
     return coded.select(
         "s",
-        *PLACE,
         n.alias("n"),
+        bits(0).alias("low"),
+        bits(1).alias("high"),
         F.posexplode(F.slice("codes", F.lit(1), kept)).alias("i", "word"),
     )
 
 
-def _may_match(n: Column, i: Column, m: Column, j: Column) -> Column:
-    """Length and positional filters for sets of ``n`` and ``m`` words that meet at ``i``, ``j``."""
+def _may_match(a: str, b: str) -> Column:
+    """Length, positional and bitmap filters for two lines that meet at a prefix word.
+
+    Lines that match differ in at most so many words, and each differing bit takes
+    a word that differs.
+    """
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     needed = ceil_div((n + m) * PART, PART + WHOLE)
     alike = F.least(n, m) * WHOLE >= F.greatest(n, m) * PART
-    return alike & (F.least(n - i, m - j) >= needed)
+    place = F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i")) >= needed
+    differ = sum(
+        F.bit_count(F.col(f"{a}.{half}").bitwiseXOR(F.col(f"{b}.{half}"))) for half in ("low", "high")
+    )
+    return alike & place & (differ <= n + m - 2 * needed)
 
 
 def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -133,49 +161,40 @@ def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     both = (
         pairs.join(held.hint("merge"), "s")
         .join(other.hint("merge"), "t")
-        .select("s", words(F.col("line")).alias("a"), words(F.col("other")).alias("b"))
     )
-    shared = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - shared
-    return keep(both.where(shared * WHOLE >= union * PART).select("s").distinct(), "matched")
+    a, b = words(F.col("line")), words(F.col("other"))
+    sizes = keep(
+        both.select(
+            "s",
+            F.size(F.array_intersect(a, b)).alias("shared"),
+            F.size(F.array_union(a, b)).alias("union"),
+        ),
+        "overlaps",
+    )
+    alike = F.col("shared") * WHOLE >= F.col("union") * PART
+    return keep(sizes.where(alike).select("s").distinct(), "matched")
 
 
 def matched_lines(distinct: DataFrame) -> DataFrame:
     """Lines ``s`` that match another line whose first place is earlier."""
-    prefix = keep(prefixes(distinct, bucket_ranks(distinct)), "prefixes")
-    first = (
+    prefix = keep(prefixes(distinct, bucket_classes(distinct)), "prefixes")
+    first = keep(
         prefix.groupBy("word")
-        .agg(F.min(F.struct(*PLACE, "s", "n", "i")).alias("first"), F.count("*").alias("lines"))
+        .agg(F.min(F.struct("s", "n", "i", "low", "high")).alias("b"), F.count("*").alias("lines"))
         .where("lines > 1")
-        .select("word", "first")
-    )
-    first = keep(first, "first-lines")
-    # Rows of words in one line only end here.
-    shared = keep(prefix.join(first.hint("merge"), "word"), "shared-words")
-    near = _may_match(F.col("n"), F.col("i"), F.col("first.n"), F.col("first.i"))
-    pairs = shared.where((F.col("s") != F.col("first.s")) & near)
-    pairs = keep(pairs.select("s", F.col("first.s").alias("t")).distinct(), "first-pairs")
-    matched = _verified(pairs, distinct)
-
-    own = F.struct(*PLACE)
-    probes = shared.join(matched, "s", "left_anti").select(
-        "word", "s", "n", "i", own.alias("place"), F.col("first.s").alias("first")
+        .select("word", "b"),
+        "first-lines",
     )
-    probes = keep(probes, "probes")
-    targets = shared.select(
-        "word",
-        F.col("s").alias("t"),
-        F.col("n").alias("m"),
-        F.col("i").alias("j"),
-        own.alias("earlier"),
-    )
-    met = probes.join(targets.hint("merge"), "word").where(
-        (F.col("earlier") < F.col("place"))
-        & (F.col("t") != F.col("first"))
-        & _may_match(F.col("n"), F.col("i"), F.col("m"), F.col("j"))
-    )
-    pairs = keep(met.select("s", "t").distinct(), "pairs")
-    return matched.union(_verified(pairs, distinct)).distinct()
+    met = prefix.alias("a").join(first.hint("merge"), "word")
+    near = met.where((F.col("a.s") != F.col("b.s")) & _may_match("a", "b"))
+    pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
+    matched = _verified(keep(pairs.distinct(), "first-pairs"), distinct)
+
+    probes = prefix.join(matched.hint("merge"), "s", "left_anti").alias("a")
+    met = probes.join(prefix.alias("b").hint("merge"), "word")
+    near = met.where((F.col("b.s") < F.col("a.s")) & _may_match("a", "b"))
+    pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
+    return matched.union(_verified(keep(pairs.distinct(), "pairs"), distinct)).distinct()
 
 
 def dedup_lines(
@@ -194,7 +213,7 @@ def dedup_lines(
     distinct = keep(distinct_lines(lines(texts)), "distinct-lines")
     matched = matched_lines(distinct)
     fate = keep(
-        distinct.select("s", "k1", "k2", F.struct(*PLACE).alias("first")).join(
+        distinct.select("s", "k1", "k2", "first").join(
             matched.withColumn("matched", F.lit(True)).hint("merge"), "s", "left"
         ),
         "fate",
