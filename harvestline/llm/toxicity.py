@@ -42,6 +42,7 @@ FOLDS, HELD_FOLD = 5, 0
 MAX_TRAIN = 30_000
 MAX_FEATURES = 1_000
 LEAST_TEXTS = 3  # labelled texts a feature must be in
+LEAST_TIE = 3.0  # standard deviations from chance; keeps words out that are common by accident
 PREFIXES = (4, 5, 6)
 SLAB = 4 << 20
 FAIRNESS = 5.0  # weight of the penalty on score changes
@@ -81,7 +82,7 @@ _EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 
 def bare(word: str) -> str:
     """A word without marks at either end, lower-case."""
-    return _EDGES.sub("", word).lower()
+    return (word if word.isalnum() else _EDGES.sub("", word)).lower()
 
 
 def feature_hashes(word: str) -> list[int]:
@@ -110,24 +111,15 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def word_weight(self, word: str) -> float:
-        if not len(self.features):
-            return 0.0
-        total = 0.0
-        for h in feature_hashes(word):
-            at = np.searchsorted(self.features, h)
-            if at < len(self.features) and self.features[at] == h:
-                total += self.weights[at]
-        return total
-
     def logits(self, column: pa.Array) -> np.ndarray:
         """Logit of every text; null counts as empty."""
         result = np.full(len(column), self.bias)
+        table = dict(zip(self.features.tolist(), self.weights.tolist(), strict=True))
         known: dict[str, float] = {}
         for first, unique, text, word in bags(column):
             for w in unique:
                 if w not in known:
-                    known[w] = self.word_weight(w)
+                    known[w] = sum(table.get(h, 0.0) for h in feature_hashes(w))
             weight = np.array([known[w] for w in unique])
             if len(text):
                 sums = np.bincount(text, weight[word])
@@ -183,7 +175,7 @@ def chosen_features(rows: DataFrame, most: int) -> np.ndarray:
     # Texts of either label more or fewer than expected, in standard deviations.
     tie = F.abs(F.col("with_one") - expected) / F.sqrt(expected + 1)
     found = (
-        counts.where(F.col("texts") >= LEAST_TEXTS)
+        counts.where((F.col("texts") >= LEAST_TEXTS) & (tie >= LEAST_TIE))
         .orderBy(tie.desc(), "h")
         .select("h")
         .limit(most)
