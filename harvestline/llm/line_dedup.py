@@ -84,7 +84,7 @@ def bucket_classes(distinct: DataFrame) -> Column:
     counts = np.zeros(BUCKETS)
     counts[found["b"].to_numpy()] = found["count"].to_numpy()
     classes = np.minimum(CLASSES - 1, STEPS * np.log2(1 + counts)).astype(np.uint8) + FIRST_LETTER
-    return F.lit(classes.tobytes().decode("ascii")).cast("binary")
+    return F.lit(classes.tobytes())
 
 
 def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
@@ -125,12 +125,12 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     )
     n = F.size("codes")
     kept = n - ceil_div(n * PART, WHOLE) + 1
-    return coded.select(
-        "s",
-        n.alias("n"),
-        bits(0).alias("low"),
-        bits(1).alias("high"),
-        F.posexplode(F.slice("codes", F.lit(1), kept)).alias("i", "word"),
+    # Before the rows of a line are made, so once for a line.
+    whole = coded.select(
+        "s", "codes", n.alias("n"), bits(0).alias("low"), bits(1).alias("high")
+    )
+    return whole.select(
+        "s", "n", "low", "high", F.posexplode(F.slice("codes", F.lit(1), kept)).alias("i", "word")
     )
 
 
