@@ -23,8 +23,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints, that with the smallest id."""
-    return simhash.keep_one(docs, words=SHINGLE_WORDS)
+    """One document of each group linked by similarity 0.8 or more, that with the smallest id."""
+    return simhash.keep_one_similar(docs, words=SHINGLE_WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 
 import xxhash
@@ -108,3 +109,58 @@ def test_one_document_of_each_group_stays(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
     assert simhash.keep_one(docs(spark, [])).count() == 0
+
+
+def brute_kept(rows, words=5, similarity=0.8):
+    sets = []
+    for _, text in rows:
+        found = (text or "").lower().split()
+        runs = {tuple(found[i : i + words]) for i in range(len(found) - words + 1)}
+        sets.append(runs or ({tuple(found)} if found else set()))
+    label = list(range(len(rows)))
+    links = [
+        (i, j)
+        for i, a in enumerate(sets)
+        for j, b in enumerate(sets)
+        if i < j and (not a | b or len(a & b) >= similarity * len(a | b))
+    ]
+    for _ in rows:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    return sorted(rows[min((k for k, c in enumerate(label) if c == g), key=lambda k: rows[k][0])][0] for g in set(label))
+
+
+def near_copies(rng):
+    rows = []
+    for k in range(24):
+        own = long_text(rng.randrange(60, 400), rng.randrange(10**6)).split()
+        rows.append((100 * k + 1, " ".join(own)))
+        for copy in range(2, 6):
+            edited = [w if rng.random() > rng.choice([0.01, 0.02, 0.04]) else f"e{rng.random()}" for w in own]
+            lines = [" ".join(edited[i : i + 7 + copy]) for i in range(0, len(edited), 7 + copy)]
+            rows.append((100 * k + copy, "\n".join(lines)))
+    rows += [(9001, "a b c d e f g h"), (9002, "x a b c d e f g h"), (9003, "a b c"), (9004, "A\nb c"), (9005, "")]
+    rows += [(9006, " \n"), (9007, None), (9008, "a b c d")]
+    return rows
+
+
+def test_similar_texts_equal_brute_force_jaccard(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 16)
+    rows = near_copies(random.Random(5))
+    frame = docs(spark, rows).withColumns({"key": F.lit("mine"), "n": F.lit(1)})
+    kept = simhash.keep_one_similar(frame, words=5)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept(rows)
+    assert len(brute_kept(rows)) < 100
+
+
+def test_the_stage_drops_near_copies(spark):
+    import corpus_pipeline
+
+    rows = near_copies(random.Random(6))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept(rows)
+
+
+def test_empty_table_of_sets(spark):
+    assert simhash.keep_one_similar(docs(spark, [])).count() == 0
