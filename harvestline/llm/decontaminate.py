@@ -64,7 +64,7 @@ def grams(code: np.ndarray) -> np.ndarray:
 
 
 def seeds_of(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``item_id``, ``gram``, ``at``: the n-grams of the items, with their places."""
+    """``item_key``, ``gram``, ``at``: the n-grams of the items, with their places."""
 
     def rows(batches: Batches) -> Batches:
         for batch in batches:
@@ -72,11 +72,11 @@ def seeds_of(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 made = grams(codes(words(text or ""))).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(item, len(made)), pa.array(made), pa.array(np.arange(len(made)))],
-                    ["item_id", "gram", "at"],
+                    ["item_key", "gram", "at"],
                 )
 
     kind = bench.schema[id_col].dataType.simpleString()
-    return map_arrow(bench.select(id_col, text_col), rows, f"item_id {kind}, gram long, at long")
+    return map_arrow(bench.select(id_col, text_col), rows, f"item_key {kind}, gram long, at long")
 
 
 def bitmap(hashes: DataFrame, name: str) -> np.ndarray:
@@ -231,13 +231,15 @@ def leaks(
     ``similarity`` is the score over that of the unchanged item. Rows with equal
     ids and texts are one document here. Null texts count as empty; documents and
     items of fewer than three words are in no pair. A null id is carried as null.
-    Of items with equal ids the first text by order counts.
+    Each different text of an item id, null too, is looked for; a pair has the best
+    score over the texts of its id.
     """
-    items = bench.groupBy(F.col(item_col).alias("item_id")).agg(
-        F.min(item_text_col).alias("item_text")
+    item_id, item_text = F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")
+    items = bench.select(item_id, item_text).distinct().withColumn(
+        "item_key", F.sha2(F.to_json(F.struct("item_id", "item_text")), 256)
     )
     items = keep(items, "items")
-    seeds = keep(seeds_of(items, "item_id", "item_text"), "seeds")
+    seeds = keep(seeds_of(items, "item_key", "item_text"), "seeds")
     hits = keep(seed_hits(docs, bitmap(seeds, "gram"), id_col, text_col), "seed-hits")
     flat = hits.select("doc_id", "doc_key", F.explode("hits").alias("h")).select(
         "doc_id", "doc_key", "h.pos", "h.gram"
@@ -250,18 +252,18 @@ def leaks(
     dealt = flat.withColumn("salt", F.pmod(F.xxhash64("doc_key"), F.lit(SALTS)).cast("int"))
     shared = dealt.join(rare.withColumn("salt", F.explode(salts)), ["gram", "salt"])
     candidates = (
-        shared.groupBy("doc_id", "doc_key", "item_id")
+        shared.groupBy("doc_id", "doc_key", "item_key")
         .agg(
             F.collect_set(F.col("pos") - F.col("at")).alias("shifts"),
             F.count_distinct("gram").alias("grams"),
             F.min("df").alias("df"),
         )
         .where((F.col("grams") > 1) | (F.col("df") <= RARE_SHARE * n_docs + 1))
-        .select("doc_id", "doc_key", "item_id", "shifts")
+        .select("doc_id", "doc_key", "item_key", "shifts")
     )
     candidates = keep(candidates, "candidates")
-    told = candidates.join(items, "item_id").groupBy("doc_id", "doc_key").agg(
-        F.collect_list(F.struct("item_id", "item_text", "shifts")).alias("items")
+    told = candidates.join(items, "item_key").groupBy("doc_id", "doc_key").agg(
+        F.collect_list(F.struct("item_id", "item_text", "shifts", "item_key")).alias("items")
     )
     told = keep(told, "told")
     texts = keyed_texts(docs, told, id_col, text_col)
@@ -272,22 +274,27 @@ def leaks(
         f"doc_id {kinds['doc'].simpleString()}, doc_key long, "
         f"item_id {kinds['item'].simpleString()}, score long, similarity double"
     )
-    return map_arrow(rows, _aligner(min_similarity), schema).distinct()
+    found = map_arrow(rows, _aligner(min_similarity), schema)
+    best = found.groupBy("doc_id", "doc_key", "item_id").agg(
+        F.max(F.struct("similarity", "score")).alias("best")
+    )
+    return best.select("doc_id", "doc_key", "item_id", "best.score", "best.similarity")
 
 
 def _aligner(min_similarity: float):
     def rows(batches: Batches) -> Batches:
         for batch in batches:
-            jobs = []
+            jobs, ids = [], {}
             texts = batch.column(2)
             for k, told in enumerate(batch.column(3).to_pylist()):
                 code = codes(words(texts[k].as_py() or ""))
                 for item in told:
                     own = codes(words(item["item_text"] or ""))
                     for low, high in windows(item["shifts"], len(own), len(code)):
-                        jobs.append((k, item["item_id"], own, code[low:high].copy()))
+                        jobs.append((k, item["item_key"], own, code[low:high].copy()))
+                    ids[item["item_key"]] = item["item_id"]
             found = [
-                (k, item, score, score / (MATCH * size))
+                (k, ids[item], score, score / (MATCH * size))
                 for (k, item), (score, size) in _scored(jobs).items()
                 if score >= min_similarity * MATCH * size
             ]

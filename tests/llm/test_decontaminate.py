@@ -80,3 +80,12 @@ def test_empty_tables(spark):
 def test_windows_hold_the_item_and_merge():
     assert dec.windows([100, 104], 20, 1000) == [(85, 139)]
     assert dec.windows([-5, 500], 20, 510) == [(0, 30), (485, 510)]
+
+
+def test_all_texts_of_an_item_id_are_looked_for(spark):
+    rows = [(k, long_text(40, k) + " " + item(k)) for k in range(6)]
+    items = [(1, item(0)), (1, item(1)), (None, item(2)), (None, item(3)), (2, item(4)), (2, item(4)[:80])]
+    found = dec.leaks(docs(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    got = sorted((r.doc_id, str(r.item_id), r.similarity) for r in found)
+    want = [(0, "1", 1.0), (1, "1", 1.0), (2, "None", 1.0), (3, "None", 1.0), (4, "2", 1.0)]
+    assert got == want
