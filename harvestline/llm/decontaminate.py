@@ -6,7 +6,8 @@ with the corpus or the benchmark is sent to all tasks; what hits is joined with
 the seeds by hash. A document and an item are a candidate pair if they share a
 rare n-gram or two different ones: one common phrase is no evidence. Rare is an
 n-gram in at most ``RARE_SHARE`` of the documents, so a passage that leaked into
-very many of them still counts, by its second n-gram.
+very many of them still counts, by its second n-gram. One n-gram is also enough if
+the item has no other, or is so short that one can reach the similarity asked for.
 
 Around the seeds of a pair the Smith-Waterman score of the item against the
 document's words is computed. A pair is reported if the score is at least
@@ -244,8 +245,15 @@ def leaks(
     flat = hits.select("doc_id", "doc_key", F.explode("hits").alias("h")).select(
         "doc_id", "doc_key", "h.pos", "h.gram"
     )
-    spread = flat.distinct().groupBy("gram").agg(F.count("*").alias("df"))
-    rare = keep(seeds.join(spread, "gram"), "seed-counts")
+    spread = (
+        flat.select("doc_id", "doc_key", "gram").distinct().groupBy("gram").agg(F.count("*").alias("df"))
+    )
+    sizes = seeds.groupBy("item_key").agg(
+        F.count_distinct("gram").alias("of"), (F.count("*") + WORDS - 1).alias("words")
+    )
+    short = F.col("words") * min_similarity <= WORDS
+    sizes = sizes.select("item_key", F.when(short, 1).otherwise(F.col("of")).alias("enough"))
+    rare = keep(seeds.join(spread, "gram").join(sizes, "item_key"), "seed-counts")
     n_docs = docs.count()
     # A passage in very many documents has its n-grams there too: they are dealt out.
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
@@ -257,8 +265,13 @@ def leaks(
             F.collect_set(F.col("pos") - F.col("at")).alias("shifts"),
             F.count_distinct("gram").alias("grams"),
             F.min("df").alias("df"),
+            F.min("enough").alias("enough"),
+        )
+        .where(
+            (F.col("grams") > 1)
+            | (F.col("grams") >= F.col("enough"))
+            | (F.col("df") <= RARE_SHARE * n_docs + 1)
         )
-        .where((F.col("grams") > 1) | (F.col("df") <= RARE_SHARE * n_docs + 1))
         .select("doc_id", "doc_key", "item_key", "shifts")
     )
     candidates = keep(candidates, "candidates")

@@ -89,3 +89,14 @@ def test_all_texts_of_an_item_id_are_looked_for(spark):
     got = sorted((r.doc_id, str(r.item_id), r.similarity) for r in found)
     want = [(0, "1", 1.0), (1, "1", 1.0), (2, "None", 1.0), (3, "None", 1.0), (4, "2", 1.0)]
     assert got == want
+
+
+def test_short_items_in_many_documents_are_aligned(spark):
+    rows = [(k, long_text(20, k) + " one two three " + long_text(9)) for k in range(8)]
+    rows += [(20 + k, long_text(20, k) + " p q r other") for k in range(8)]
+    rows += [(40, " ".join(f"u{k} six seven eight nine v{k}" for k in range(50)))]
+    rows += [(50 + k, "a common start " + long_text(30, k)) for k in range(8)]
+    texts = ["one two three", "p q r s t u", "six seven eight", "a common start of something else here"]
+    items = spark.createDataFrame(list(enumerate(texts)), ITEMS)
+    found = sorted((r.doc_id, r.item_id) for r in dec.leaks(docs(spark, rows), items).collect())
+    assert found == [(k, 0) for k in range(8)] + [(20 + k, 1) for k in range(8)] + [(40, 2)]
