@@ -14,13 +14,24 @@ def _text(value: str) -> str:
 # --- op1: the same order, with running sums over the whole table ---------------
 
 # CRC-32 has no function in DuckDB: its table of 256 steps is made by its rule.
-ORACLE["op1_sharding"] = f"""
-WITH crc_table AS (
+_CRC_TABLE = """crc_table AS (
     SELECT list_transform(range(256), lambda i: list_reduce(
         list_concat([i::UBIGINT], list_transform(range(8), lambda k: k::UBIGINT)),
         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END
     )) AS t
-),
+)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(
+        list_concat([4294967295::UBIGINT], list_transform(
+            regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::UBIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])
+    ), 4294967295::UBIGINT)::BIGINT"""
+
+
+ORACLE["op1_sharding"] = f"""
+WITH {_CRC_TABLE},
 rows AS (
     SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, ''))::BIGINT + {sharding.ROW_BYTES} AS size,
         ('0x' || md5(coalesce(text, ''))[1:15])::BIGINT AS key
@@ -36,11 +47,7 @@ sharded AS (
     FROM placed
 )
 SELECT doc_id, size,
-    xor(list_reduce(
-        list_concat([4294967295::UBIGINT], list_transform(
-            regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::UBIGINT)),
-        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])
-    ), 4294967295::UBIGINT)::BIGINT AS text_crc32,
+    {_crc32("text")} AS text_crc32,
     'bytes' AS law, shard,
     row_number() OVER (PARTITION BY shard ORDER BY key, doc_id NULLS FIRST) - 1 AS slot,
     NULL::INTEGER AS grown_shard
@@ -162,3 +169,56 @@ counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM roots LEFT JOIN counts USING (vec_id)
 """
+
+
+# --- op11: every prefix as a list of turns, every subtree by the prefixes of its nodes ----
+
+ORACLE["op11_prefix_trie"] = f"""
+WITH {_CRC_TABLE},
+turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+            md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, n, {_crc32("conv_id::VARCHAR")} % 4 AS h, conv_id - conv_id % 20 AS family
+    FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1), crc_table
+),
+rebuilt AS (
+    SELECT c.conv_id, i AS place, role, text
+    FROM convs c JOIN turns t ON t.conv_id = c.family AND i <= h
+    UNION ALL
+    SELECT c.conv_id, i - c.h + least(c.h, coalesce(p.n, 0)), role, text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND i > c.h
+        LEFT JOIN convs p ON p.conv_id = c.family
+),
+paths AS (
+    SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY place) FILTER (WHERE place IS NOT NULL), []) AS path
+    FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY 1
+),
+members AS (
+    SELECT conv_id, path, d AS depth, path[:d] AS node
+    FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths)
+),
+nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(path) = depth), '') AS ends
+    FROM members GROUP BY 1, 2
+),
+children AS (SELECT node[:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+own AS (
+    SELECT m.*, coalesce(c.n, 0) AS n_children,
+        CASE WHEN depth = 0 THEN 0 ELSE
+            (n_convs - 1) * len(regexp_extract_all(m.node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM nodes m LEFT JOIN children c ON c.node = m.node
+),
+sums AS (
+    SELECT node[:d] AS node, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM own) GROUP BY 1
+)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+    s.saved_tokens, sha256(o.ends) AS ends_sha256
+FROM own o JOIN sums s ON s.node = o.node
+    LEFT JOIN nodes p ON o.depth > 0 AND p.node = o.node[:o.depth - 1]
+"""

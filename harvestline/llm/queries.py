@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestline.llm import decontaminate, embeddings, hmm, licenses, line_dedup, packing, pii, sharding, simhash, toxicity
+from harvestline.llm import (
+    conversations,
+    decontaminate,
+    embeddings,
+    hmm,
+    licenses,
+    line_dedup,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    toxicity,
+)
 from harvestline.llm.common import bucket_of_id, text_or_empty
 
 from harvestline.llm.oracle import ORACLE  # noqa: F401
@@ -104,4 +116,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
\ No newline at end of file
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
