@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harvestline.llm import embeddings, licenses, line_dedup, sharding
+from harvestline.llm import collocations, embeddings, licenses, line_dedup, sharding
 
 ORACLE: dict[str, str] = {}
 
@@ -222,3 +222,47 @@ SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children,
 FROM own o JOIN sums s ON s.node = o.node
     LEFT JOIN nodes p ON o.depth > 0 AND p.node = o.node[:o.depth - 1]
 """
+
+
+# --- op12: all n-grams spelled out and counted --------------------------------------
+
+ORACLE["op12_collocations"] = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+),
+worded AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+),
+grams AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i
+        FROM (SELECT *, unnest(range(1, {collocations.LONGEST + 1})) AS m FROM worded))
+),
+counts AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY 1, 2, 3),
+often AS (SELECT * FROM counts WHERE a >= {collocations.LEAST}),
+sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY 1),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM often WHERE m > 1),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, c.m, k, f.a AS l, g.a AS r, s.n,
+        (1000::HUGEINT * c.a * s.n) // (f.a::HUGEINT * g.a) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+        JOIN often f ON f.lang = c.lang AND f.phrase = array_to_string(w[:k], ' ')
+        JOIN often g ON g.lang = c.lang AND g.phrase = array_to_string(w[k + 1:], ' ')
+        JOIN sizes s ON s.lang = c.lang
+),
+weakest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+whole AS (
+    SELECT * FROM weakest c WHERE NOT EXISTS (
+        SELECT 1 FROM candidates q WHERE q.lang = c.lang AND q.m > c.m AND 100 * q.a >= 100 * c.a
+            AND contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score::BIGINT AS score
+FROM whole
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {collocations.TOP}
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline.llm import (
+    collocations,
     conversations,
     decontaminate,
     embeddings,
@@ -121,3 +122,8 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
