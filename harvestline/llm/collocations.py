@@ -1,8 +1,8 @@
 """Phrases whose words occur together more often than their parts would by chance.
 
-Every n-gram is known by a fingerprint: words are hashed, prefix polynomials over
-the word hashes are summed with numpy, and the difference of two prefixes is the
-fingerprint of the words between (Rabin-Karp). Fingerprints are counted in a
+Every n-gram is known by a fingerprint: prefix polynomials are summed with numpy, and
+the difference of two prefixes is the fingerprint of what lies between (Rabin-Karp);
+over bytes this hashes words, over their hashes n-grams. Fingerprints are counted in a
 shuffle, which carries a pointer to an occurrence and the range of a second,
 independent fingerprint. Only what is frequent is then read from the text at its
 pointer. Where the second fingerprint is not the same for all occurrences, or a
@@ -37,7 +37,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 NO_LANG = "und"
-CHUNK = 4 << 20  # bytes of text at once; longer texts are cut between pieces
+CHUNK = 2 << 20  # bytes of text at once; longer texts are cut between pieces
 BITS_PER_ITEM = 16
 MOST_BITS = 1 << 28  # 32 MB
 FULL = 64  # bits of a fingerprint; tests take fewer, so that phrases collide
@@ -52,9 +52,11 @@ _KIND[list(MARKS)] = _MARK
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-# Odd numbers, so that they have an inverse modulo 2**64; two independent fingerprints.
+# Two independent fingerprints. Bases are odd, so that they have an inverse modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-_SEEDS = (11, 12)
+_BYTES = tuple(
+    np.random.default_rng(seed).integers(0, 1 << 64, 256, np.uint64) for seed in (11, 12)
+)
 
 
 @dataclass
@@ -65,8 +67,13 @@ class Words:
     piece: np.ndarray  # rising number of the piece; n-grams stay within one
     start: np.ndarray  # byte in the text
     hashes: tuple[np.ndarray, np.ndarray]  # two hashes of each word
-    vocabulary: pa.Array
-    code: np.ndarray  # place in the vocabulary
+    data: np.ndarray  # bytes of all the texts, lower-case
+    first: np.ndarray  # where words begin and end in them
+    last: np.ndarray
+
+    def spelled(self, at: int, n: int) -> str:
+        ends = zip(self.first[at : at + n].tolist(), self.last[at : at + n].tolist(), strict=True)
+        return " ".join(self.data[a:b].tobytes().decode() for a, b in ends)
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -121,25 +128,6 @@ def _beginnings(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     return kind, word, np.flatnonzero(word & ~before)
 
 
-def count_words(column: pa.Array) -> np.ndarray:
-    """Words of each text."""
-    count = np.zeros(len(column), np.int64)
-    for data, rows, _, lengths in _chunks(column.cast(pa.large_binary())):
-        begins = np.cumsum(lengths) - lengths
-        first = _beginnings(data, begins)[2]
-        run = np.searchsorted(begins, first, "right") - 1
-        count += np.bincount(rows[run], minlength=len(column))
-    return count
-
-
-def word_hashes(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    words = vocabulary.to_pylist()
-    return tuple(
-        np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-        for seed in _SEEDS
-    )
-
-
 def words_of(column: pa.Array) -> Iterator[Words]:
     """The words of a text column, chunk by chunk; A-Z are lowered, null has none."""
     for data, rows, starts, lengths in _chunks(column.cast(pa.large_binary())):
@@ -148,23 +136,22 @@ def words_of(column: pa.Array) -> Iterator[Words]:
         if not len(first):
             continue
         run = np.searchsorted(begins, first, "right") - 1
-        # Pieces end at marks and texts; both numbers rise, so their sum tells pieces apart.
-        piece = np.cumsum(kind == _MARK)[first] + run
-        kept = _LOWER[data[word]]
-        at = np.append(np.cumsum(word)[first] - 1, len(kept)).astype(np.int64)
-        spelled = pa.Array.from_buffers(
-            pa.large_binary(), len(first), [None, pa.py_buffer(at), pa.py_buffer(kept)]
-        )
-        coded = spelled.dictionary_encode()
-        code = coded.indices.to_numpy()
-        hashed = word_hashes(coded.dictionary)
+        after = np.append(word[1:], False)
+        after[begins[1:] - 1] = False
+        last = np.flatnonzero(word & ~after) + 1
+        lowered = _LOWER[data]
         yield Words(
             rows[run],
-            piece,
+            # Pieces end at marks and texts; both numbers rise, so their sum tells pieces apart.
+            np.cumsum(kind == _MARK)[first] + run,
             first - begins[run] + starts[run],
-            (hashed[0][code], hashed[1][code]),
-            coded.dictionary,
-            code,
+            tuple(
+                between(prefix_polynomial(table[lowered], base), base, first, last, last - first)
+                for table, base in zip(_BYTES, _BASES, strict=True)
+            ),
+            lowered,
+            first,
+            last,
         )
 
 
@@ -198,10 +185,12 @@ def prefix_polynomial(hashes: np.ndarray, base: int) -> np.ndarray:
     return np.append(np.uint64(0), np.cumsum(hashes * powers(base, len(hashes))[0]))
 
 
-def grams(prefix: np.ndarray, base: int, at: np.ndarray, n: int, salt: np.ndarray) -> np.ndarray:
-    """Fingerprints of the n-grams that begin at ``at``; ``salt`` tells languages apart."""
+def between(
+    prefix: np.ndarray, base: int, first: np.ndarray, last: np.ndarray, salt: np.ndarray
+) -> np.ndarray:
+    """Fingerprints of what lies between two places; they do not depend on the place."""
     inverse = powers(base, len(prefix))[1]
-    return mixed((prefix[at + n] - prefix[at]) * inverse[at], salt + np.uint64(2 * n))
+    return mixed((prefix[last] - prefix[first]) * inverse[first], salt)
 
 
 def salts(langs: list[str]) -> np.ndarray:
@@ -209,15 +198,20 @@ def salts(langs: list[str]) -> np.ndarray:
     return np.array(made, np.uint64) if made else np.empty(0, np.uint64)
 
 
-def fingerprint(words: list[str], lang: str, bits: int = FULL) -> tuple[int, int]:
-    """Both fingerprints of a phrase, as they are found in a text."""
-    hashed = word_hashes(pa.array([w.encode() for w in words], pa.binary()))
-    out = []
-    for k, base in enumerate(_BASES):
-        prefix = prefix_polynomial(hashed[k], base)
-        gram = grams(prefix, base, np.zeros(1, np.int64), len(words), salts([lang]))
-        out.append(int((gram >> np.uint64(FULL - bits) if k == 0 else gram).view(np.int64)[0]))
-    return out[0], out[1]
+def fingerprints(
+    phrases: list[str], sizes: np.ndarray, langs: list[str], bits: int = FULL
+) -> tuple[np.ndarray, np.ndarray]:
+    """Both fingerprints of phrases of so many words, as they are found in a text."""
+    key, check = np.zeros(len(phrases), np.int64), np.zeros(len(phrases), np.int64)
+    for words in words_of(pa.array(phrases, pa.string())):
+        made = Grams(words, langs, bits)
+        first = np.flatnonzero(np.append(True, words.row[1:] != words.row[:-1]))
+        row = words.row[first]
+        for n in np.unique(sizes[row]):
+            mine = sizes[row] == n
+            key[row[mine]] = made.key(first[mine], int(n))
+            check[row[mine]] = made.check(first[mine], int(n))
+    return key, check
 
 
 class Grams:
@@ -236,11 +230,14 @@ class Grams:
         return np.flatnonzero(piece[: len(piece) - n + 1] == piece[n - 1 :])
 
     def key(self, at: np.ndarray, n: int) -> np.ndarray:
-        made = grams(self.prefix[0], _BASES[0], at, n, self.salt[at])
-        return (made >> self.shift).view(np.int64)
+        return (self._gram(0, at, n) >> self.shift).view(np.int64)
 
     def check(self, at: np.ndarray, n: int) -> np.ndarray:
-        return grams(self.prefix[1], _BASES[1], at, n, self.salt[at]).view(np.int64)
+        return self._gram(1, at, n).view(np.int64)
+
+    def _gram(self, k: int, at: np.ndarray, n: int) -> np.ndarray:
+        # The salt tells languages apart.
+        return between(self.prefix[k], _BASES[k], at, at + n, self.salt[at] + np.uint64(2 * n))
 
 
 def bit_places(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -295,27 +292,31 @@ def held(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 # --- counting fingerprints --------------------------------------------------------
 
-COUNTS = (
-    "n int, key long, total long, low long, high long, doc long, start long"
-)
+COUNTS = "n int, key long, total long, low long, high long, pointer long"
+DOC_BITS = 32  # of a pointer; the rest is the byte in the text
 
 
 def texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``doc``, ``lang``, ``text``; equal rows have one number, and serve each other's pointers."""
+    """``doc``, ``lang``, ``text``; equal rows have one number, and serve each other's pointers.
+
+    A number has ``DOC_BITS`` bits only, so a pointer is one long, which hash aggregates can
+    hold. Different texts may share it: at the pointer, the fingerprint tells them apart.
+    """
     made = docs.select(
         F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    return made.select(F.xxhash64("text", "lang").alias("doc"), "lang", "text")
+    doc = F.shiftright(F.xxhash64("text", "lang"), 64 - DOC_BITS)
+    return made.select(doc.alias("doc"), "lang", "text")
 
 
-def summed(n: int, key: np.ndarray, check: np.ndarray, doc: np.ndarray, start: np.ndarray):
-    """A row for each different key: its count, the range of checks, a pointer."""
-    if not len(key):
-        return None
-    order = np.argsort(key, kind="stable")
+def summed(n: int, key: np.ndarray, check: np.ndarray, pointer: np.ndarray):
+    """A row for each different key: its count, the range of checks, the least pointer."""
+    order = np.argsort(key)
     sorted_ = key[order]
-    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(key) else order
+    if not len(first):
+        return None
     checks = check[order]
     columns = [
         np.full(len(first), n, np.int32),
@@ -323,8 +324,7 @@ def summed(n: int, key: np.ndarray, check: np.ndarray, doc: np.ndarray, start: n
         np.diff(np.append(first, len(order))),
         np.minimum.reduceat(checks, first),
         np.maximum.reduceat(checks, first),
-        doc[order[first]],
-        start[order[first]],
+        np.minimum.reduceat(pointer[order], first),
     ]
     names = [c.split()[0] for c in COUNTS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
@@ -333,17 +333,25 @@ def summed(n: int, key: np.ndarray, check: np.ndarray, doc: np.ndarray, start: n
 def count_grams(
     rows: DataFrame, lengths: range, frequent: np.ndarray | None, inner: int, bits: int
 ) -> DataFrame:
-    """Counts of n-grams by fingerprint; all their parts of ``inner`` words are in the bitmap."""
+    """Counts of n-grams by fingerprint; all their parts of ``inner`` words are in the bitmap.
+
+    Without a bitmap all n-grams are counted, and the words of each language: as n = 0,
+    with the salt of the language for a key.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
-            doc = batch.column(0).to_numpy()
+            doc = batch.column(0).to_numpy() << (64 - DOC_BITS)
             langs = batch.column(1).to_pylist()
             for words in words_of(batch.column(2)):
                 made = Grams(words, langs, bits)
-                good = np.ones(len(words.code), bool)
-                if shared.value is not None:
+                pointer = doc[words.row] + words.start
+                good = np.ones(len(words.row), bool)
+                if shared.value is None:
+                    salt = made.salt.view(np.int64)
+                    yield summed(0, salt, salt, pointer)
+                else:
                     at = made.starts(inner)
                     good[:] = False
                     good[at] = held(made.key(at, inner), shared.value)
@@ -351,18 +359,19 @@ def count_grams(
                     at = made.starts(n)
                     for k in range(n - inner + 1 if shared.value is not None else 0):
                         at = at[good[at + k]]
-                    out = summed(
-                        n, made.key(at, n), made.check(at, n), doc[words.row[at]], words.start[at]
-                    )
+                    out = summed(n, made.key(at, n), made.check(at, n), pointer[at])
                     if out is not None:
                         yield out
 
-    each = map_arrow(rows, emit, COUNTS)
-    return each.groupBy("n", "key").agg(
-        F.sum("total").alias("total"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.min(F.struct("doc", "start")).alias("first"),
+    return (
+        map_arrow(rows, emit, COUNTS)
+        .groupBy("n", "key")
+        .agg(
+            F.sum("total").alias("total"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.min("pointer").alias("pointer"),
+        )
     )
 
 
@@ -377,11 +386,13 @@ def read_phrases(rows: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
     """``n``, ``key``, ``lang``, ``phrase``, ``total``, read at the pointers and checked.
 
     Pointers are the smallest of all occurrences, so they meet in few documents, and only
-    those are shuffled. ``same`` is false where the text has another fingerprint.
+    those are shuffled. What has another fingerprint than its pointer says is left out.
     """
+    offset = 64 - DOC_BITS
+    start = F.col("pointer").bitwiseAND(F.lit((1 << offset) - 1))
     wanted = keep(
-        counted.groupBy(F.col("first.doc").alias("doc")).agg(
-            F.collect_list(F.struct("n", "key", "low", "total", "first.start")).alias("wanted")
+        counted.groupBy(F.shiftright("pointer", offset).alias("doc")).agg(
+            F.collect_list(F.struct("n", "key", "low", "total", start.alias("start"))).alias("wanted")
         ),
         "pointers",
     )
@@ -392,7 +403,7 @@ def read_phrases(rows: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(held(batch.column(0).to_numpy(), shared.value)))
 
-    found = map_arrow(rows, only, rows.schema).dropDuplicates(["doc"])
+    found = map_arrow(rows, only, rows.schema).dropDuplicates()
     # A text has no more phrases than its words times their lengths.
     met = found.join(wanted, "doc").select("lang", "text", "wanted")
 
@@ -407,38 +418,45 @@ def read_phrases(rows: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
             ):
                 for p in pointers:
                     words = phrase_at(text.as_buffer(), p["start"], p["n"])
-                    same = words and fingerprint(words, lang, bits) == (p["key"], p["low"])
-                    phrase = " ".join(words) if words else None
-                    out.append((p["n"], p["key"], lang, phrase, p["total"], bool(same)))
+                    if words is not None:
+                        out.append((p["n"], p["key"], lang, words, p["total"], p["low"]))
             columns = [list(c) for c in zip(*out, strict=True)] or [[]] * 6
-            kinds = (pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())
+            sizes, low = np.array(columns[0], np.int64), np.array(columns[5], np.int64)
+            key, check = fingerprints(columns[3], sizes, columns[2], bits)
+            own = salts(columns[2]).view(np.int64)
+            key, check = np.where(sizes == 0, own, key), np.where(sizes == 0, own, check)
+            same = (key == np.array(columns[1], np.int64)) & (check == low)
+            kinds = (pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["n", "key", "lang", "phrase", "total", "same"],
-            )
+                [pa.array(c, t) for c, t in zip(columns[:5], kinds, strict=True)],
+                ["n", "key", "lang", "phrase", "total"],
+            ).filter(pa.array(same, pa.bool_()))
 
     return map_arrow(
-        met, read, "n int, key long, lang string, phrase string, total long, same boolean"
-    )
+        met, read, "n int, key long, lang string, phrase string, total long"
+    ).dropDuplicates(["n", "key"])
 
 
-def phrase_at(text: memoryview, start: int, n: int) -> list[str] | None:
-    """The n words that begin at a byte of a text."""
+def phrase_at(text: memoryview, start: int, n: int) -> str | None:
+    """The n words that begin at a byte of a text, lower-case and with blanks between."""
     size = 64 * n
     while True:
         data = np.frombuffer(text, np.uint8)[start : start + size]
-        kind = _KIND[data]
-        word = kind == _WORD
+        word = _KIND[data] == _WORD
         first = np.flatnonzero(word & ~np.append(False, word[:-1]))
-        end = np.flatnonzero(~word & np.append(False, word[:-1]))
-        if len(end) >= n or start + size >= len(text):
+        last = np.flatnonzero(~word & np.append(False, word[:-1]))
+        if len(last) >= n or start + size >= len(text):
             break
         size *= 4
-    end = np.append(end, len(data))[:n] if len(end) < n else end[:n]
     if len(first) < n:
         return None
+    last = np.append(last, len(data))[:n]
     lowered = _LOWER[data].tobytes()
-    return [lowered[a:b].decode() for a, b in zip(first[:n].tolist(), end.tolist(), strict=True)]
+    words = [lowered[a:b] for a, b in zip(first[:n].tolist(), last.tolist(), strict=True)]
+    try:
+        return b" ".join(words).decode()
+    except UnicodeDecodeError:  # a pointer meant for another text
+        return None
 
 
 def count_by_text(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
@@ -455,13 +473,12 @@ def count_by_text(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
             langs = batch.column(1).to_pylist()
             for words in words_of(batch.column(2)):
                 made = Grams(words, langs, bits)
-                spelled = [w.decode() for w in words.vocabulary.to_pylist()]
                 for n in lengths:
                     at = made.starts(n)
                     key = made.key(at, n)
                     inside = held(key, shared.value)
                     at, key = at[inside], key[inside]
-                    phrase = [" ".join(spelled[c] for c in words.code[a : a + n]) for a in at.tolist()]
+                    phrase = [words.spelled(a, n) for a in at.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(at), n, np.int32)),
@@ -492,7 +509,9 @@ def frequent_phrases(
     spark = docs.sparkSession
     rows = texts(docs, text_col, lang_col)
     often = F.col("total") >= least
-    levels = [keep(count_grams(rows, range(1, 2), None, 1, bits).where(often), "words")]
+    one = count_grams(rows, range(1, 2), None, 1, bits).where(often | (F.col("n") == 0))
+    one = keep(one, "words")
+    levels = [one.where("n = 1")]
     inner = 1
     for lengths in (range(2, 3), range(3, longest + 1)):
         if not len(lengths) or lengths[0] > longest:
@@ -501,29 +520,20 @@ def frequent_phrases(
         counted = count_grams(rows, lengths, known, inner, bits).where(often)
         levels.append(keep(counted, "phrases"))
         inner = lengths[0]
-    counted = levels[0]
+    counted = one
     for more in levels[1:]:
         counted = counted.unionByName(more)
     read = keep(read_phrases(rows, counted.where(~collided()), bits), "read-phrases")
-    good = read.where("same").select("n", "lang", "phrase", "total")
+    good = read.select("n", "lang", "phrase", "total")
     bad = keep(
-        counted.where(collided()).select("n", "key").unionByName(read.where("not same").select("n", "key")),
+        counted.select("n", "key").join(read.select("n", "key"), ["n", "key"], "left_anti"),
         "collided",
     )
     if not bad.isEmpty():
-        again = count_by_text(rows, bad, bits).where(often)
+        again = count_by_text(rows, bad.where("n > 0"), bits).where(often)
         good = keep(good.unionByName(again), "all-phrases")
-    return good, word_totals(rows)
-
-
-def word_totals(rows: DataFrame) -> DataFrame:
-    def emit(batches: Batches) -> Batches:
-        for batch in batches:
-            count = pa.array(count_words(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), count], ["lang", "words"])
-
-    each = map_arrow(rows, emit, "lang string, words long")
-    return each.groupBy("lang").agg(F.sum("words").alias("words"))
+    totals = good.where("n = 0").select("lang", F.col("total").alias("words"))
+    return good.where("n > 0"), totals
 
 
 # --- scores ------------------------------------------------------------------------
