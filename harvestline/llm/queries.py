@@ -17,6 +17,7 @@ from harvestline.llm import (
     line_dedup,
     packing,
     pii,
+    quality,
     sharding,
     simhash,
     toxicity,
@@ -127,3 +128,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    score = F.col(quality.SCORE)
+    held_out = bucket_of_id("doc_id", quality.FOLDS) == quality.HELD_FOLD
+    return quality.add_scores(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+        (score >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
