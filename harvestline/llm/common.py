@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from harvestline.session import scratch_path
+from harvestline.sources import folders
 
 Batches = Iterator[pa.RecordBatch]
 CLEANER_SECONDS = 0.3
@@ -32,7 +33,15 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", compression).parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def drop(*kept: DataFrame) -> None:
+    """Delete tables made by ``keep`` whose last reader has been stored."""
+    for df in kept:
+        folders.delete(df.sparkSession, df.kept_at)
 
 
 def release(spark: SparkSession) -> None:
@@ -92,14 +101,14 @@ def slabs(column: pa.Array, size: int) -> Iterator[tuple[int, pa.Array]]:
         total += length
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in a row, and where those of each text begin and end.
 
     Words are runs of anything but ASCII white space, upper-case ASCII lowered.
     ``texts`` must not be a slice; null counts as empty.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     ends = split.offsets.to_numpy() - split.offsets[0].as_py()
     words = split.flatten()
     full = pc.greater(pc.binary_length(words), 0)

@@ -8,9 +8,10 @@ unknown words. So the Baum-Welch counts of a task are a table of fixed size,
 whatever the corpus, and the score of a text is exact: its unigram score plus what
 the scaled forward recursion over its classes gains on independent classes.
 
-Word counts are exact and never in one place. Texts are put into slabs; a slab's
-different words are joined with the counts and brought back to the slab, where a
-text's words find theirs. Nothing that grows with the vocabulary is broadcast.
+Word counts are exact and never in one place. Texts are put into slabs, as places in
+the slab's list of different words; those words are joined with the counts and brought
+back to the slab, where the places find theirs. Nothing that grows with the vocabulary
+is broadcast, and no text is shuffled.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     DoubleType,
+    IntegerType,
     LongType,
     StructField,
     StructType,
@@ -37,6 +40,7 @@ from pyspark.sql.types import (
 from harvestline.llm.common import (
     Batches,
     bucket_of_id,
+    drop,
     importable,
     keep,
     map_arrow,
@@ -76,64 +80,74 @@ def suffix_class(word: bytes) -> int:
 # --- words and their counts ---------------------------------------------------
 
 
-def with_slabs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``text``, ``held_out``, ``slab``; a slab holds about ``SLAB`` bytes of one task."""
+ENCODED = (
+    StructField("slab", LongType()),
+    StructField("index", BinaryType()),
+    StructField("tokens", ArrayType(LongType())),
+    StructField("suffixes", ArrayType(IntegerType())),
+    StructField("counts", ArrayType(LongType())),
+)
+
+
+def encoded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts by slab, each as the places of its words in the word list of the slab.
+
+    A slab is about ``SLAB`` bytes of text. It has a row for each text, with ``index``
+    (32-bit), and one with its different ``tokens``, their suffix classes and training counts.
+    So a text is split into words once, and no text is shuffled.
+    """
     held = F.coalesce(bucket_of_id(id_col, FOLDS) == HELD_FOLD, F.lit(False))
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held_out")
     )
+    schema = StructType([rows.schema["id"], rows.schema["held_out"], *ENCODED])
 
-    def number(batches: Batches) -> Batches:
+    def encode(batches: Batches) -> Batches:
         slab = TaskContext.get().partitionId() << 36
-        total = 0
         for batch in batches:
             for first, texts in slabs(batch.column(1), SLAB):
-                size = texts.nbytes
-                if total + size > SLAB and total:
-                    slab, total = slab + 1, 0
-                total += size
-                part = batch.slice(first, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.repeat(pa.scalar(slab, pa.int64()), len(texts))],
-                    [*part.schema.names, "slab"],
-                )
-
-    schema = StructType([*rows.schema.fields, StructField("slab", LongType())])
-    return map_arrow(rows, number, schema)
-
-
-def slab_words(texts: DataFrame) -> DataFrame:
-    """``slab``, ``token``, ``suffix``, ``n``: different words and their training counts."""
-
-    def rows(batches: Batches) -> Batches:
-        for batch in batches:
-            slab_of = batch.column(2).to_numpy()
-            held = batch.column(1).to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(np.diff(slab_of, prepend=slab_of[:1] - 1))
-            for start, stop in zip(edges, [*edges[1:], len(slab_of)], strict=True):
-                where = pa.array(np.arange(start, stop))
-                words, ends = split_words(batch.column(0).take(where))
+                slab += 1
+                own = batch.slice(first, len(texts))
+                held = own.column(2).to_numpy(zero_copy_only=False)
+                words, ends = split_words(texts)
                 coded = words.dictionary_encode()
                 unique = [w.encode() for w in coded.dictionary.to_pylist()]
-                trains = np.repeat(~held[start:stop], np.diff(ends))
-                count = np.bincount(
-                    coded.indices.to_numpy()[trains], minlength=len(unique)
+                place = coded.indices.to_numpy().astype("<i4")
+                trains = np.repeat(~held, np.diff(ends))
+                count = np.append(
+                    np.bincount(place[trains], minlength=len(unique)), (~held).sum()
                 )
-                tokens = [*map(word_hash, unique), END_TOKEN]
-                suffixes = [*map(suffix_class, unique), END]
-                count = np.append(count, (~held[start:stop]).sum())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(int(slab_of[start]), pa.int64()), len(tokens)),
-                        pa.array(tokens, pa.int64()),
-                        pa.array(suffixes, pa.int32()),
-                        pa.array(count, pa.int64()),
-                    ],
-                    ["slab", "token", "suffix", "n"],
+                index = [place[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                lists = (
+                    [[*map(word_hash, unique), END_TOKEN]],
+                    [[*map(suffix_class, unique), END]],
+                    [count],
                 )
+                nulls = len(texts)
+                columns = [
+                    pa.concat_arrays([own.column(0), pa.nulls(1, own.column(0).type)]),
+                    pa.concat_arrays([own.column(2), pa.array([False])]),
+                    pa.repeat(pa.scalar(slab, pa.int64()), nulls + 1),
+                    pa.array([*index, None], pa.binary()),
+                    *[
+                        pa.concat_arrays([pa.nulls(nulls, pa.list_(t)), pa.array(x, pa.list_(t))])
+                        for x, t in zip(lists, (pa.int64(), pa.int32(), pa.int64()), strict=True)
+                    ],
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return map_arrow(rows, encode, schema)
 
-    return map_arrow(
-        texts.select("text", "held_out", "slab"), rows, "slab long, token long, suffix int, n long"
+
+def slab_words(slabs_: DataFrame) -> DataFrame:
+    """``slab``, ``place``, ``token``, ``suffix``, ``n``: different words and their training counts."""
+    each = F.posexplode(F.arrays_zip("tokens", "suffixes", "counts")).alias("place", "word")
+    return slabs_.where("tokens IS NOT NULL").select("slab", each).select(
+        "slab",
+        "place",
+        F.col("word.tokens").alias("token"),
+        F.col("word.suffixes").alias("suffix"),
+        F.col("word.counts").alias("n"),
     )
 
 
@@ -164,50 +178,38 @@ SEQUENCES = (
 )
 
 
-def sequences(texts: DataFrame, words: DataFrame, vocab: DataFrame) -> DataFrame:
+def sequences(slabs_: DataFrame, words: DataFrame, vocab: DataFrame) -> DataFrame:
     """Per text its class sequence (16-bit), token counts and sum of log10(c + 0.5)."""
-    known = words.select("slab", "token").distinct().join(vocab, "token")
+    texts = slabs_.where("index IS NOT NULL").select("id", "held_out", "slab", "index")
+    known = words.select(F.col("slab").alias("word_slab"), "place", "token")
+    known = known.join(vocab, "token").drop("token")
     importable(texts.sparkSession)
 
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
-        token = right["token"].to_numpy()
-        order = np.argsort(token)
-        token = token[order]
-        count = right["c"].to_numpy()[order]
-        class_ = right["class"].to_numpy()[order].astype(np.int16)
-        flat, ends = split_words(left["text"].combine_chunks())
-        coded = flat.dictionary_encode()
-        unique = np.array(
-            [*(word_hash(w.encode()) for w in coded.dictionary.to_pylist()), END_TOKEN],
-            dtype=np.int64,
-        )
-        place = np.searchsorted(token, unique)
-        size = np.diff(ends)
-        last = ends[1:] + np.arange(len(size))  # the end token of each text
-        index = np.full(len(flat) + len(size), len(unique) - 1)
-        inside = np.ones(len(index), dtype=bool)
-        inside[last] = False
-        index[inside] = coded.indices.to_numpy()
-        at = place[index]
-        first = last - size
-        classes = class_[at].astype("<i2")
+        place = right["place"].to_numpy()
+        count, class_ = np.zeros(len(place), np.int64), np.zeros(len(place), "<i2")
+        count[place], class_[place] = right["c"].to_numpy(), right["class"].to_numpy()
+        logs, known_ = np.log10(count + 0.5), count > 0
+        end = np.full(1, len(place) - 1, "<i4")
+        out = []
+        for index in left["index"].to_pylist():
+            at = np.append(np.frombuffer(index, "<i4"), end)
+            out.append((len(at), known_[at].sum(), logs[at].sum(), class_[at].tobytes()))
+        tokens, known_tokens, log_counts, classes = zip(*out, strict=True)
         return pa.table(
             {
                 "id": left["id"],
                 "held_out": left["held_out"],
-                "n_tokens": pa.array(size + 1, pa.int64()),
-                "n_known": pa.array(np.add.reduceat((count[at] > 0).astype(np.int64), first)),
-                "log_counts": pa.array(np.add.reduceat(np.log10(count[at] + 0.5), first)),
-                "classes": pa.array(
-                    [classes[a : b + 1].tobytes() for a, b in zip(first, last, strict=True)],
-                    pa.binary(),
-                ),
+                "n_tokens": pa.array(tokens, pa.int64()),
+                "n_known": pa.array(known_tokens, pa.int64()),
+                "log_counts": pa.array(log_counts, pa.float64()),
+                "classes": pa.array(classes, pa.binary()),
             }
         )
 
     schema = StructType([texts.schema["id"], *SEQUENCES])
     return (
-        texts.groupBy("slab").cogroup(known.groupBy("slab")).applyInArrow(rows, schema)
+        texts.groupBy("slab").cogroup(known.groupBy("word_slab")).applyInArrow(rows, schema)
     )
 
 
@@ -376,10 +378,11 @@ def score(
     out. Without training texts every token is the unknown one, and both scores
     are those of a certain event. Other columns are not carried.
     """
-    texts = keep(with_slabs(docs, id_col, text_col), "texts")
-    words = slab_words(texts)
+    places = keep(encoded(docs, id_col, text_col), "encoded")
+    words = slab_words(places)
     vocab = vocabulary(words)
-    coded = keep(sequences(texts, words, vocab), "sequences")
+    coded = keep(sequences(places, words, vocab), "sequences")
+    drop(places)
 
     seen = F.when(F.col("c") > 0, 1).otherwise(0)
     once = F.when(F.col("c") == 1, 1).otherwise(0)
