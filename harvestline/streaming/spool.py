@@ -22,9 +22,10 @@ def stream_spool(
     """New CSV files of a folder; done ones move to ``archive``.
 
     The checkpoint of the query remembers which files were taken. A file is
-    archived when a later batch ends, so the newest may still be in place.
+    archived when a later batch ends, so the newest may still be in place. A file
+    whose header has other names or another order stops the query.
     """
-    reader = spark.readStream.schema(schema).options(header=True)
+    reader = spark.readStream.schema(schema).options(header=True, enforceSchema=False)
     if archive:
         reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
     if max_files:

@@ -4,6 +4,7 @@ import glob
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from harvestline import schemas
 from harvestline.operators.cleaning import clean_stream
@@ -56,6 +57,27 @@ def test_stream_equals_batch_over_restarts(spark, folders, mode):
     assert (1, "2015-01-01", 15.0, 3.0, 3) in rows(streamed)
 
 
+OTHER_ORDER = "date,county_id,temp_c,precip_mm\n2015-01-01,1,10,1\n"
+SWAPPED = "county_id,date,precip_mm,temp_c\n1,2015-01-01,10,1\n"
+
+
+@pytest.mark.parametrize("text", [OTHER_ORDER, SWAPPED])
+def test_a_header_of_another_order_stops_the_stream(spark, folders, text):
+    put(folders["inbox"], "a.csv", FIRST)
+    put(folders["inbox"], "b.csv", text)
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        drain(spark, folders)
+
+
+@pytest.mark.parametrize("text", [OTHER_ORDER, SWAPPED])
+def test_a_header_of_another_order_stops_the_relay(spark, folders, text):
+    put(folders["inbox"], "a.csv", text)
+    incoming = spool.stream_spool(spark, folders["inbox"])
+    with pytest.raises(StreamingQueryException):
+        daily.run(spool.start_relay(incoming, folders["target"], folders["checkpoint"]))
+    assert not glob.glob(f"{folders['target']}/*.csv")
+
+
 def test_versions_and_replayed_epochs(spark, folders):
     batch = spark.createDataFrame([(1, "2015-01-01", 1.0, 2.0, 3)], schemas.DAILY_SUMMARY)
     sink = daily.upsert_batch(folders["target"])
