@@ -487,6 +487,14 @@ ORACLE: dict[str, str] = {
                o_orderkey, o_totalprice FROM orders)
         SELECT key, epoch, seq, value FROM both_sides
         QUALIFY row_number() OVER (PARTITION BY key ORDER BY epoch DESC, seq DESC) = 1""",
+    "kv_upsert_buckets": """WITH both_sides AS (
+        SELECT c_custkey AS key, CAST(0 AS BIGINT) AS epoch, CAST(0 AS BIGINT) AS seq,
+               c_acctbal AS value FROM customer
+        UNION ALL
+        SELECT o_custkey, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT),
+               o_orderkey, o_totalprice FROM orders)
+        SELECT CAST(key AS VARCHAR) AS key, epoch, seq, value FROM both_sides
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY epoch DESC, seq DESC) = 1""",
     "keep_versions": """SELECT user_id || '_' || CAST(ts AS DATE) AS key,
         CAST(hour(ts) AS INTEGER) AS epoch, event_id, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)

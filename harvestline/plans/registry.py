@@ -542,6 +542,23 @@ def weather_series(spark, d):
 
 @query
 def kv_upsert(spark, d):
+    return keyed.kv_upsert(*_accounts(spark, d), ["key"], ["epoch", "seq"])
+
+
+@query
+def kv_upsert_buckets(spark, d):
+    """The same upsert on a stored table, bucket by bucket."""
+    current, updates = (
+        side.withColumn("key", F.col("key").cast("string")) for side in _accounts(spark, d)
+    )
+    path = scratch_path(spark, "kv-upsert")
+    keyed.write_kv(current, path)
+    keyed.upsert_stored(spark, path, updates, ["epoch", "seq"])
+    return spark.read.parquet(path).select(*current.columns)
+
+
+def _accounts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Balances of customers, and the totals of their orders as later versions."""
     current = b.table(spark, d, "customer").select(
         F.col("c_custkey").alias("key"),
         F.lit(0).cast("bigint").alias("epoch"),
@@ -554,7 +571,7 @@ def kv_upsert(spark, d):
         F.col("o_orderkey").alias("seq"),
         F.col("o_totalprice").alias("value"),
     )
-    return keyed.kv_upsert(current, updates, ["key"], ["epoch", "seq"])
+    return current, updates
 
 
 @query
