@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from statistics import fmean
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline import schemas
@@ -40,11 +42,18 @@ class NoTrainingData(ValueError):
     """The join of predictors and yields has no row."""
 
 
+@dataclass(frozen=True)
+class GridPoint:
+    trees: int
+    depth: int
+    rmse: float
+
+
 @dataclass(frozen=True)
 class Trained:
     encoder: PipelineModel
     forest: Model
-    cross_validation: CrossValidatorModel | None
+    cross_validation: list[GridPoint] | None
     metrics: DataFrame
 
 
@@ -68,27 +77,61 @@ def with_label(data: DataFrame) -> DataFrame:
     return data.withColumn("label", F.col("yield_mt_ha").cast("double"))
 
 
-def forest() -> RandomForestRegressor:
+def forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestRegressor:
     return RandomForestRegressor(
-        featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED
+        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=SEED
     )
 
 
-def cross_validator(regressor: RandomForestRegressor, parallelism: int) -> CrossValidator:
-    grid = (
-        ParamGridBuilder()
-        .addGrid(regressor.numTrees, TREE_GRID)
-        .addGrid(regressor.maxDepth, DEPTH_GRID)
-        .build()
-    )
-    return CrossValidator(
-        estimator=regressor,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(labelCol="label", metricName="rmse"),
-        numFolds=FOLDS,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
+def prefix_errors(
+    model: RandomForestRegressionModel, data: DataFrame, sizes: Sequence[int]
+) -> dict[int, float]:
+    """Root mean squared error of the first trees of a forest, for several numbers of trees.
+
+    Trees are drawn independently of each other, so the first k of them are a forest of
+    k trees. All trees score a row once, in one pass over the data.
+    """
+    scored = data.select("features", "label")
+    for i, tree in enumerate(model.trees):
+        scored = tree.setPredictionCol(f"tree_{i}").transform(scored)
+
+    def mean_of(k: int) -> Column:
+        return sum((F.col(f"tree_{i}") for i in range(k)), F.lit(0.0)) / k
+
+    squares = {k: F.sqrt(F.avg(F.pow(mean_of(k) - F.col("label"), 2))) for k in sizes}
+    found = scored.agg(*[error.alias(str(k)) for k, error in squares.items()]).first()
+    return {k: found[str(k)] for k in sizes}
+
+
+def cross_validate(train_set: DataFrame, parallelism: int) -> list[GridPoint]:
+    """Mean error of every grid point over the folds.
+
+    One forest for each fold and depth, of as many trees as the grid has at most; the
+    smaller ones are its first trees. ``train_set`` has ``features``, ``label``, ``fold``.
+    """
+    most = max(TREE_GRID)
+
+    def errors(fold: int, depth: int) -> dict[int, float]:
+        model = forest(most, depth).fit(train_set.filter(F.col("fold") != fold))
+        return prefix_errors(model, train_set.filter(F.col("fold") == fold), TREE_GRID)
+
+    spark = train_set.sparkSession
+    # The deepest take longest and go first.
+    jobs = [(fold, depth) for depth in sorted(DEPTH_GRID, reverse=True) for fold in range(FOLDS)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        running = {
+            job: pool.submit(inheritable_thread_target(spark)(errors), *job) for job in jobs
+        }
+        found = {job: future.result() for job, future in running.items()}
+    return [
+        GridPoint(trees, depth, fmean(found[fold, depth][trees] for fold in range(FOLDS)))
+        for trees in TREE_GRID
+        for depth in DEPTH_GRID
+    ]
+
+
+def best_of(grid: list[GridPoint]) -> GridPoint:
+    return min(grid, key=lambda point: point.rmse)
 
 
 def train(
@@ -117,22 +160,17 @@ def _fit(train_set: DataFrame, use_cross_validation: bool, parallelism: int):
     if use_cross_validation:
         folds = train_set.select("fold").distinct().count()
         if folds == FOLDS:
-            validation = cross_validator(forest(), parallelism).fit(train_set)
-            return validation.bestModel, validation
+            grid = cross_validate(train_set, parallelism)
+            best = best_of(grid)
+            return forest(best.trees, best.depth).fit(train_set), grid
         log.warning("only %s of %s folds have rows, fitting the default forest", folds, FOLDS)
     return forest().fit(train_set), None
 
 
-def cv_table(validation: CrossValidatorModel) -> DataFrame:
+def cv_table(grid: list[GridPoint]) -> DataFrame:
     """Mean error of every grid point; the smallest is marked."""
-    best = min(validation.avgMetrics)
-    at_best = validation.avgMetrics.index(best)
-    rows = []
-    for i, (params, rmse) in enumerate(
-        zip(validation.getEstimatorParamMaps(), validation.avgMetrics)
-    ):
-        chosen = {p.name: v for p, v in params.items()}
-        rows.append((chosen["numTrees"], chosen["maxDepth"], float(rmse), i == at_best))
+    best = best_of(grid)
+    rows = [(point.trees, point.depth, float(point.rmse), point is best) for point in grid]
     return SparkSession.active().createDataFrame(rows, schemas.CV_RESULTS)
 
 

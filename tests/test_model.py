@@ -83,6 +83,43 @@ def test_cross_validation_covers_the_grid(spark, training, monkeypatch):
     assert len(best) == 1 and best[0].avg_rmse == min(r.avg_rmse for r in rows)
 
 
+def test_prefixes_of_a_forest(training):
+    """All trees are the library's own forest; fewer are the mean of the first ones."""
+    data = yield_model.with_label(yield_model.encoder().fit(training).transform(training))
+    few, rest = data.filter("county_id < 6"), data.filter("county_id >= 6")
+    model = yield_model.forest(12, 4).fit(rest)
+    found = yield_model.prefix_errors(model, few, (3, 7, 12))
+    evaluator = RegressionEvaluator(labelCol="label", metricName="rmse")
+    assert found[12] == pytest.approx(evaluator.evaluate(model.transform(few)), rel=1e-9)
+    rows = few.select("features", "label").collect()
+    for k in (3, 7):
+        errors = [
+            sum(tree.predict(r.features) for tree in model.trees[:k]) / k - r.label for r in rows
+        ]
+        wanted = (sum(e * e for e in errors) / len(errors)) ** 0.5
+        assert found[k] == pytest.approx(wanted, rel=1e-9)
+
+
+def test_grid_errors_equal_separate_forests_of_most_trees(training, monkeypatch):
+    monkeypatch.setattr(yield_model, "TREE_GRID", (3, 6))
+    monkeypatch.setattr(yield_model, "DEPTH_GRID", (3,))
+    data = yield_model.with_label(yield_model.encoder().fit(training).transform(training))
+    folds = data.select(
+        "features", "label", (F.col("county_id") % yield_model.FOLDS).alias("fold")
+    ).persist()
+    grid = {p.trees: p.rmse for p in yield_model.cross_validate(folds, 4)}
+    evaluator = RegressionEvaluator(labelCol="label", metricName="rmse")
+    alone = [
+        evaluator.evaluate(
+            yield_model.forest(6, 3).fit(folds.filter(F.col("fold") != k)).transform(folds.filter(F.col("fold") == k))
+        )
+        for k in range(yield_model.FOLDS)
+    ]
+    assert grid[6] == pytest.approx(sum(alone) / len(alone), rel=1e-9)
+    assert set(grid) == {3, 6}
+    folds.unpersist()
+
+
 def test_too_little_data_falls_back_to_one_fit(training):
     few = training.filter("county_id = 1 and year < 2012")
     assert yield_model.train(few).cross_validation is None
