@@ -8,7 +8,7 @@ zone are ever unpacked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestline.functions.geometry import MODIS_GRID, RasterGrid, ring_edges
@@ -125,13 +125,51 @@ def zone_runs(zones: DataFrame, grid: RasterGrid = MODIS_GRID) -> DataFrame:
     )
 
 
-def line_runs(zones: DataFrame, grid: RasterGrid = MODIS_GRID) -> DataFrame:
-    """The runs of all zones on a raster line in one row, as many as cross the line."""
-    run = F.struct("county_id", "first", "n")
-    return (
+def line_covers(zones: DataFrame, grid: RasterGrid = MODIS_GRID) -> DataFrame:
+    """Runs of columns that the same zones cover, of a raster line in one row.
+
+    ``covers``: first, n, zones (ids, rising). Runs of one line do not overlap, so they
+    hold each pixel once. A row has as many as zones cross the line, times two.
+    """
+    run = F.struct("county_id", "first", (F.col("first") + F.col("n")).alias("stop"))
+    lines = (
         zone_runs(zones, grid)
         .groupBy("tile_h", "tile_v", "line")
         .agg(F.collect_list(run).alias("runs"))
+        .withColumn(
+            "cuts",
+            F.array_sort(F.array_distinct(F.concat(F.col("runs.first"), F.col("runs.stop")))),
+        )
+    )
+
+    def cover(first: Column, at: Column) -> Column:
+        stop = F.get("cuts", at + 1)
+        over = F.filter("runs", lambda r: (r["first"] <= first) & (r["stop"] >= stop))
+        ids = F.array_sort(F.transform(over, lambda r: r["county_id"]))
+        return F.struct(first.alias("first"), (stop - first).alias("n"), ids.alias("zones"))
+
+    every = F.transform("cuts", cover)  # the last cut has no stop and so no zones
+    return lines.select(
+        "tile_h",
+        "tile_v",
+        "line",
+        F.filter(every, lambda c: F.size(c["zones"]) > 0).alias("covers"),
+    )
+
+
+def covered_pixels(
+    lines: DataFrame, zones: DataFrame, grid: RasterGrid = MODIS_GRID
+) -> DataFrame:
+    """Pixels inside any zone, once each, with the ids of the zones that cover them."""
+    met = lines.join(line_covers(zones, grid), ["tile_h", "tile_v", "line"]).select(
+        "tile_h", "tile_v", "date", "raw", F.explode("covers").alias("cover")
+    )
+    return met.select(
+        F.col("cover.zones").alias("zones"),
+        "tile_h",
+        "tile_v",
+        "date",
+        F.explode(F.slice("raw", F.col("cover.first") + 1, F.col("cover.n"))).alias("raw"),
     )
 
 
@@ -146,27 +184,31 @@ def zonal_stats(
 
     Sums are of whole numbers and exact. A zone without a valid pixel on a tile
     has no row. The per-tile means feed ``zonal_ndvi`` as samples. A line meets
-    its zones in one row, so the join does not multiply the raster.
+    its zones in one row, so the join does not multiply the raster. Pixels are summed by
+    the set of zones that cover them, and those sums by zone: a pixel is read once,
+    however many zones overlap.
     """
-    met = lines.join(line_runs(zones, grid), ["tile_h", "tile_v", "line"]).select(
-        "tile_h", "tile_v", "date", "raw", F.explode("runs").alias("run")
-    )
-    inside = met.select(
-        "run.county_id",
-        "tile_h",
-        "tile_v",
-        "date",
-        F.explode(F.slice("raw", F.col("run.first") + 1, F.col("run.n"))).alias("raw"),
-    )
-    return (
-        inside.filter(F.col("raw") != nodata)
-        .groupBy("county_id", "tile_h", "tile_v", "date")
+    place = ["tile_h", "tile_v", "date"]
+    by_cover = (
+        covered_pixels(lines, zones, grid)
+        .filter(F.col("raw") != nodata)
+        .groupBy("zones", *place)
         .agg(
             F.sum("raw").alias("raw_sum"),
             F.count("raw").alias("pixel_count"),
             F.min("raw").alias("raw_min"),
             F.max("raw").alias("raw_max"),
         )
+    )
+    return (
+        by_cover.withColumn("county_id", F.explode("zones"))
+        .groupBy("county_id", *place)
+        .agg(
+            F.sum("raw_sum").alias("raw_sum"),
+            F.sum("pixel_count").alias("pixel_count"),
+            F.min("raw_min").alias("raw_min"),
+            F.max("raw_max").alias("raw_max"),
+        )
         .select(
             "county_id",
             "tile_h",

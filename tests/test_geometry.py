@@ -162,3 +162,27 @@ def test_pixels_of_a_line(spark):
     )
     got = [(r.pixel_y, r.pixel_x, r.raw, r.ndvi) for r in raster.scaled_pixels(frame).collect()]
     assert got == [(3, 0, -3000, None), (3, 1, 5000, 0.5)]
+
+
+def test_nested_zones_read_every_pixel_once(spark):
+    rings = [(float(k), 32.0 - k) for k in range(10)]
+    nested = [
+        [[[(a, a), (b, a), (b, b), (a, b), (a, a)]]] for a, b in rings
+    ] + ZONES
+    lines, pixels = random_lines(2)
+    frame = spark.createDataFrame(lines, LINE_SCHEMA)
+    zones = shapes(spark, *nested)
+    held = [p for p in pixels if any(inside(g, *p[3:]) for g in nested)]
+    assert raster.covered_pixels(frame, zones, GRID).count() == len(held)
+    got = {
+        (r.county_id, r.tile_h, r.tile_v, r.date): (r.min_ndvi, r.max_ndvi, r.pixel_count)
+        for r in raster.zonal_stats(frame, zones, GRID).collect()
+    }
+    expected = {}
+    for (h, v, day, x, y), raw in pixels.items():
+        for i, geom in enumerate(nested):
+            if raw != -3000 and inside(geom, x, y):
+                expected.setdefault((i, h, v, day), []).append(raw)
+    assert got == {
+        key: (min(v) / 10000, max(v) / 10000, len(v)) for key, v in expected.items()
+    }
