@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import os
-import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,21 +16,24 @@ from harvestline.session import scratch_path
 from harvestline.sources import folders
 
 Batches = Iterator[pa.RecordBatch]
-CLEANER_SECONDS = 0.3
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written to the shared folder and read back, its shuffle files released.
+    """``df`` written to the shared folder and read back, its shuffle files deleted.
 
-    Cuts the lineage in a way that survives lost executors. Spark drops shuffle
-    files when the driver collects garbage, so that is asked for here: else the
-    files of all steps of a long job add up on disk.
+    Cuts the lineage in a way that survives lost executors. Spark would keep the shuffle
+    files of all steps of a long job until the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    release(spark)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.kept_at = path
     return kept
@@ -44,13 +45,6 @@ def drop(*kept: DataFrame) -> None:
         folders.delete(df.sparkSession, df.kept_at)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner, which works beside, drop what nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(CLEANER_SECONDS)
-
-
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns that an operator is about to add, whatever their case."""
     taken = {n.lower() for n in names}
