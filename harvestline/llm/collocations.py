@@ -3,9 +3,9 @@
 Every n-gram is known by a fingerprint: prefix polynomials are summed with numpy, and
 the difference of two prefixes is the fingerprint of what lies between (Rabin-Karp);
 over bytes this hashes words, over their hashes n-grams. Fingerprints are counted in a
-shuffle, which carries a pointer to an occurrence and the range of a second,
-independent fingerprint. Only what is frequent is then read from the text at its
-pointer. Where the second fingerprint is not the same for all occurrences, or a
+shuffle. Those that are frequent are counted once more, with a pointer to an occurrence
+and the range of a second, independent fingerprint, and are read from the text at
+their pointer. Where the second fingerprint is not the same for all occurrences, or a
 text does not have the fingerprint it was found by, two phrases have collided:
 those are counted again by their text.
 
@@ -21,6 +21,7 @@ columns count each. Ids are not used; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -66,7 +67,7 @@ class Words:
     row: np.ndarray  # number of the text
     piece: np.ndarray  # rising number of the piece; n-grams stay within one
     start: np.ndarray  # byte in the text
-    hashes: tuple[np.ndarray, np.ndarray]  # two hashes of each word
+    hashes: tuple[np.ndarray, ...]  # one or two hashes of each word
     data: np.ndarray  # bytes of all the texts, lower-case
     first: np.ndarray  # where words begin and end in them
     last: np.ndarray
@@ -128,8 +129,11 @@ def _beginnings(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     return kind, word, np.flatnonzero(word & ~before)
 
 
-def words_of(column: pa.Array) -> Iterator[Words]:
-    """The words of a text column, chunk by chunk; A-Z are lowered, null has none."""
+def words_of(column: pa.Array, lanes: int = 2) -> Iterator[Words]:
+    """The words of a text column, chunk by chunk; A-Z are lowered, null has none.
+
+    ``lanes``: how many of the two hashes are wanted.
+    """
     for data, rows, starts, lengths in _chunks(column.cast(pa.large_binary())):
         begins = np.cumsum(lengths) - lengths
         kind, word, first = _beginnings(data, begins)
@@ -147,7 +151,7 @@ def words_of(column: pa.Array) -> Iterator[Words]:
             first - begins[run] + starts[run],
             tuple(
                 between(prefix_polynomial(table[lowered], base), base, first, last, last - first)
-                for table, base in zip(_BYTES, _BASES, strict=True)
+                for table, base in zip(_BYTES[:lanes], _BASES, strict=False)
             ),
             lowered,
             first,
@@ -220,7 +224,7 @@ class Grams:
     def __init__(self, words: Words, langs: list[str], bits: int):
         self.words, self.shift = words, np.uint64(FULL - bits)
         self.salt = salts(langs)[words.row]
-        self.prefix = [prefix_polynomial(h, b) for h, b in zip(words.hashes, _BASES, strict=True)]
+        self.prefix = [prefix_polynomial(h, b) for h, b in zip(words.hashes, _BASES, strict=False)]
 
     def starts(self, n: int) -> np.ndarray:
         """Words that begin n words of one piece."""
@@ -330,36 +334,68 @@ def summed(n: int, key: np.ndarray, check: np.ndarray, pointer: np.ndarray):
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
-def count_grams(
-    rows: DataFrame, lengths: range, frequent: np.ndarray | None, inner: int, bits: int
+def frequent_keys(
+    rows: DataFrame, lengths: range, frequent: np.ndarray | None, inner: int, least: int, bits: int
 ) -> DataFrame:
-    """Counts of n-grams by fingerprint; all their parts of ``inner`` words are in the bitmap.
+    """``key`` of n-grams that occur ``least`` times; all their parts of ``inner`` words are in
+    the bitmap, if there is one.
 
-    Without a bitmap all n-grams are counted, and the words of each language: as n = 0,
-    with the salt of the language for a key.
+    These rows are nearly as many as the words of the corpus, so they hold a key and a
+    count only. Keys that collide count together, which lets too many through.
     """
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
-            doc = batch.column(0).to_numpy() << (64 - DOC_BITS)
             langs = batch.column(1).to_pylist()
-            for words in words_of(batch.column(2)):
+            for words in words_of(batch.column(2), lanes=1):
                 made = Grams(words, langs, bits)
-                pointer = doc[words.row] + words.start
                 good = np.ones(len(words.row), bool)
-                if shared.value is None:
-                    salt = made.salt.view(np.int64)
-                    yield summed(0, salt, salt, pointer)
-                else:
+                if shared.value is not None:
                     at = made.starts(inner)
                     good[:] = False
                     good[at] = held(made.key(at, inner), shared.value)
                 for n in lengths:
-                    at = made.starts(n)
-                    for k in range(n - inner + 1 if shared.value is not None else 0):
-                        at = at[good[at + k]]
-                    out = summed(n, made.key(at, n), made.check(at, n), pointer[at])
+                    at = with_parts(made.starts(n), good, n - inner + 1)
+                    key, total = np.unique(made.key(at, n), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array(total)], ["key", "total"]
+                    )
+
+    counts = map_arrow(rows, emit, "key long, total long").groupBy("key")
+    return counts.agg(F.sum("total").alias("total")).where(F.col("total") >= least).select("key")
+
+
+def with_parts(at: np.ndarray, good: np.ndarray, parts: int) -> np.ndarray:
+    """Of the places, those where so many parts in a row are good."""
+    for k in range(parts):
+        at = at[good[at + k]]
+    return at
+
+
+def count_grams(rows: DataFrame, frequent: np.ndarray, longest: int, bits: int) -> DataFrame:
+    """Counts of the n-grams whose fingerprints are in the bitmap.
+
+    And the words of each language: as n = 0, with the salt of the language for a key.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(frequent)
+
+    def emit(batches: Batches) -> Batches:
+        for batch in batches:
+            doc = batch.column(0).to_numpy() << (64 - DOC_BITS)
+            langs = batch.column(1).to_pylist()
+            for words in words_of(batch.column(2)):
+                made = Grams(words, langs, bits)
+                pointer = doc[words.row] + words.start
+                salt = made.salt.view(np.int64)
+                yield summed(0, salt, salt, pointer)
+                good = held(made.key(made.starts(1), 1), shared.value)
+                for n in range(1, longest + 1):
+                    at = with_parts(made.starts(n), good, n)
+                    key = made.key(at, n)
+                    inside = held(key, shared.value)
+                    at, key = at[inside], key[inside]
+                    out = summed(n, key, made.check(at, n), pointer[at])
                     if out is not None:
                         yield out
 
@@ -509,20 +545,18 @@ def frequent_phrases(
     spark = docs.sparkSession
     rows = texts(docs, text_col, lang_col)
     often = F.col("total") >= least
-    one = count_grams(rows, range(1, 2), None, 1, bits).where(often | (F.col("n") == 0))
-    one = keep(one, "words")
-    levels = [one.where("n = 1")]
+    levels = [keep(frequent_keys(rows, range(1, 2), None, 1, least, bits), "words")]
     inner = 1
     for lengths in (range(2, 3), range(3, longest + 1)):
-        if not len(lengths) or lengths[0] > longest:
-            break
-        known = bitmap(spark, levels[-1])
-        counted = count_grams(rows, lengths, known, inner, bits).where(often)
-        levels.append(keep(counted, "phrases"))
-        inner = lengths[0]
-    counted = one
-    for more in levels[1:]:
-        counted = counted.unionByName(more)
+        if lengths and lengths[0] <= longest:
+            known = bitmap(spark, levels[-1])
+            found = frequent_keys(rows, lengths, known, inner, least, bits)
+            levels.append(keep(found, "phrases"))
+            inner = lengths[0]
+    every = bitmap(spark, functools.reduce(DataFrame.unionByName, levels))
+    counted = keep(
+        count_grams(rows, every, longest, bits).where(often | (F.col("n") == 0)), "counted"
+    )
     read = keep(read_phrases(rows, counted.where(~collided()), bits), "read-phrases")
     good = read.select("n", "lang", "phrase", "total")
     bad = keep(
