@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestline.llm.common import keep, without
+from harvestline.llm.common import drop, keep, without
 
 PART, WHOLE = 4, 5  # the least similarity, as a fraction
 BUCKETS = 1 << 17
@@ -152,10 +152,9 @@ def _may_match(a: str, b: str) -> Column:
 
 def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     """Lines ``s`` of the pairs ``s``, ``t`` that are similar enough."""
-    asked = pairs.select("s").union(pairs.select("t")).distinct()
+    asked = keep(pairs.select("s").union(pairs.select("t")).distinct(), "asked")
     held = keep(
-        distinct.select("s", "line").join(keep(asked, "asked").hint("merge"), "s", "left_semi"),
-        "asked-lines",
+        distinct.select("s", "line").join(asked.hint("merge"), "s", "left_semi"), "asked-lines"
     )
     other = held.select(F.col("s").alias("t"), F.col("line").alias("other"))
     both = (
@@ -172,7 +171,9 @@ def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
         "overlaps",
     )
     alike = F.col("shared") * WHOLE >= F.col("union") * PART
-    return keep(sizes.where(alike).select("s").distinct(), "matched")
+    matched = keep(sizes.where(alike).select("s").distinct(), "matched")
+    drop(asked, held, sizes, pairs)
+    return matched
 
 
 def matched_lines(distinct: DataFrame) -> DataFrame:
@@ -188,13 +189,17 @@ def matched_lines(distinct: DataFrame) -> DataFrame:
     met = prefix.alias("a").join(first.hint("merge"), "word")
     near = met.where((F.col("a.s") != F.col("b.s")) & _may_match("a", "b"))
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
-    matched = _verified(keep(pairs.distinct(), "first-pairs"), distinct)
+    pairs = keep(pairs.distinct(), "first-pairs")
+    drop(first)
+    matched = _verified(pairs, distinct)
 
     probes = prefix.join(matched.hint("merge"), "s", "left_anti").alias("a")
     met = probes.join(prefix.alias("b").hint("merge"), "word")
     near = met.where((F.col("b.s") < F.col("a.s")) & _may_match("a", "b"))
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
-    return matched.union(_verified(keep(pairs.distinct(), "pairs"), distinct)).distinct()
+    pairs = keep(pairs.distinct(), "pairs")
+    drop(prefix)
+    return matched.union(_verified(pairs, distinct)).distinct()
 
 
 def dedup_lines(
@@ -218,6 +223,7 @@ def dedup_lines(
         ),
         "fate",
     )
+    drop(distinct)
     gone = (
         lines(texts)
         .drop("line")
@@ -226,7 +232,9 @@ def dedup_lines(
         .groupBy("none", "id", "doc_key")
         .agg(F.collect_set("pos").alias("_hl_gone"))
     )
-    gone = keep(gone, "removed-lines").withColumnsRenamed(
+    gone = keep(gone, "removed-lines")
+    drop(fate)
+    gone = gone.withColumnsRenamed(
         {"none": "_hl_none", "id": "_hl_id", "doc_key": "_hl_key"}
     )
     held = docs.withColumns(
