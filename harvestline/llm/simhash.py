@@ -452,9 +452,13 @@ def set_components(
 
 
 def _sets_of(docs: DataFrame, told: DataFrame, text_col: str, words: int) -> DataFrame:
-    """``key``, ``bits``: the shingle sets of the keys, each from one of its rows."""
-    wanted = told.select(F.col("place.none"), F.col("place.id"), F.col("key").alias("_key"))
-    rows = docs.join(wanted, ["none", "id"]).select("_key", text_col)
+    """``key``, ``bits``: the shingle sets of the keys, each from one of its rows.
+
+    Rows are found by id and text: many may have no id, or the same.
+    """
+    wanted = told.select("place.*", F.col("key").alias("_key"))
+    rows = docs.join(wanted, ["none", "id", "text_key"]).select("_key", text_col)
+    rows = rows.dropDuplicates(["_key"])
     made = add_sets(rows, text_col, words, full=True).where(F.col("_key") == F.col("key"))
     return made.select("key", "bits").dropDuplicates(["key"])
 
@@ -476,11 +480,12 @@ def keep_one_similar(
         raise ValueError(f"the radius is made for a similarity of {SIMILARITY} or more")
     names = docs.columns
     none, known = F.col(id_col).isNull(), F.coalesce(F.col(id_col), F.lit(0))
-    placed = docs.select(none.alias("none"), known.alias("id"), F.col(text_col))
+    text_key = F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_key")
+    placed = docs.select(none.alias("none"), known.alias("id"), text_key, F.col(text_col))
     printed = keep(add_sets(placed, text_col, words), "printed")
     distinct = keep(
         printed.groupBy("key").agg(
-            F.min(F.struct("none", "id")).alias("place"),
+            F.min(F.struct("none", "id", "text_key")).alias("place"),
             F.min("n").alias("n"),
             F.min("bits").alias("bits"),
         ),

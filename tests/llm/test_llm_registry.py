@@ -11,12 +11,13 @@ from harvestline.llm.queries import QUERIES
 #: Training, tokens, alignment, unusual hashes and match places are beyond SQL.
 BRUTE_FORCE_ONLY = {
     "op3_pii", "op4_simhash", "op5_hmm", "op6_toxicity", "op8_packing", "op9_decontaminate",
+    "op13_quality",
 }
 
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) - set(ORACLE) == BRUTE_FORCE_ONLY
     assert set(ORACLE) <= set(QUERIES)
 
@@ -25,7 +26,8 @@ def test_one_query_for_each_operator():
 def test_query_equals_sql(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     result = differences(found, sf_dir, ORACLE[name])
-    assert result is None or (result == "empty result" and name == "op7_licenses")
+    may_be_empty = ("op7_licenses", "op12_collocations")  # the table is very small
+    assert result is None or (result == "empty result" and name in may_be_empty)
 
 
 @pytest.mark.parametrize("name", sorted(BRUTE_FORCE_ONLY - {"op9_decontaminate"}))

@@ -79,3 +79,24 @@ def test_run_gives_the_last_stage(spark, stages):
     columns = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
     got = corpus_pipeline.run(spark, SF_DIR).select(columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[5].select(columns).collect()))
+
+
+@pytest.mark.parametrize("place", range(4))
+def test_stages_stand_null_empty_repeated_and_clashing_input(spark, place):
+    name, stage = corpus_pipeline.STAGES[place]
+    rows = [
+        (1, "plain words of a text\nand a line", "en", 1, 2, "x"),
+        (1, "plain words of a text\nand a line", "en", 1, 2, "x"),
+        (2, None, None, 3, 4, None),
+        (None, "", "en", 5, 6, "y"),
+        (None, None, "en", 7, 8, "y"),
+        (3, "other words " * 3000, "de", 9, 9, "z"),
+    ]
+    schema = "doc_id long, text string, lang string, n_lines long, n_removed long, score string"
+    frame = spark.createDataFrame(rows, schema)
+    out = stage(spark, frame, SF_DIR)
+    assert out.columns == frame.columns
+    got = out.collect()
+    assert {r.doc_id for r in got} >= {1, 3}
+    assert all(r.n_lines in (1, 3, 5, 7, 9) for r in got)
+    assert stage(spark, frame.limit(0), SF_DIR).count() == 0

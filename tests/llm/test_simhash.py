@@ -164,3 +164,22 @@ def test_the_stage_drops_near_copies(spark):
 
 def test_empty_table_of_sets(spark):
     assert simhash.keep_one_similar(docs(spark, [])).count() == 0
+
+
+def test_rows_without_id_meet_one_set_each(spark):
+    """Many null or equal ids: every set is read from one row, not from all of them."""
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(1000):
+        words = base[:k % 50] + [f"v{k}"] + base[k % 50 :]
+        rows.append((None if k % 2 else 7, " ".join(words)))
+    frame = docs(spark, rows)
+    placed = frame.selectExpr(
+        "doc_id is null as none", "coalesce(doc_id, 0) as id", "xxhash64(text) as text_key", "text"
+    )
+    sets = simhash.add_sets(placed, "text", 5)
+    told = sets.selectExpr("key", "struct(none, id, text_key) as place").dropDuplicates(["key"])
+    assert told.count() == 1000
+    assert simhash._sets_of(placed, told, "text", 5).count() == 1000
+    kept = simhash.keep_one_similar(frame, words=5).collect()
+    assert len(kept) == 1
