@@ -17,8 +17,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that match an earlier one; ``n_chars`` follows."""
-    left = line_dedup.dedup_lines(docs).drop(line_dedup.LINES, line_dedup.REMOVED)
+    """All documents, without the lines that match an earlier one; ``n_chars`` follows if there.
+
+    A null text stays null, a text may become empty; columns named as the operator's counts
+    (``n_lines``, ``n_removed``) keep what they held.
+    """
+    names = {line_dedup.LINES: "_own_lines", line_dedup.REMOVED: "_own_removed"}
+    left = line_dedup.dedup_lines(docs.withColumnsRenamed(names))
+    left = left.drop(*names).withColumnsRenamed({own: name for name, own in names.items()})
+    if "n_chars" not in docs.columns:
+        return left
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
