@@ -41,12 +41,29 @@ def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(fraction=fraction, seed=seed)
 
 
-def sampled_counts(df: DataFrame, fractions: Sequence[float] = FRACTIONS) -> DataFrame:
-    """Rows and mean temperature of each seeded sample, in one scan.
+def draw_of(keys: Sequence[str], seed: int = SEED) -> Column:
+    """Seeded draw from [0, 1) by the key of a row, wherever the row lies."""
+    return md5_fraction(F.lit(seed), *[F.col(k) for k in keys])
 
-    One draw per row decides about all fractions, so the samples are nested.
+
+def sample_by_key(
+    df: DataFrame, keys: Sequence[str], fraction: float, seed: int = SEED
+) -> DataFrame:
+    """A seeded sample that does not depend on files, partitions or tasks run again.
+
+    Samples of one seed are nested. Rows of equal keys stay or go together.
+    """
+    return df if fraction >= 1.0 else df.filter(draw_of(keys, seed) < fraction)
+
+
+def sampled_counts(
+    df: DataFrame, keys: Sequence[str], fractions: Sequence[float] = FRACTIONS, seed: int = SEED
+) -> DataFrame:
+    """Rows and mean temperature of each sample by key, in one scan.
+
+    One draw per row decides about all fractions.
     """
-    drawn = df.withColumn("draw", F.rand(SEED)).select(
+    drawn = df.withColumn("draw", draw_of(keys, seed)).select(
         "temp_c",
         F.explode(
             F.filter(F.array(*[F.lit(f) for f in fractions]), lambda f: F.col("draw") < f)

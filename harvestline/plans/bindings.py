@@ -41,7 +41,14 @@ def _day(c: str) -> Column:
 
 def obs(spark: SparkSession, d: str) -> DataFrame:
     """Daily weather, temperatures and rainfall beyond the cleaning bounds included."""
+    return keyed_obs(spark, d).drop("order", "line")
+
+
+def keyed_obs(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the key of each row."""
     return table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("order"),
+        F.col("l_linenumber").alias("line"),
         _int("l_suppkey").alias("county_id"),
         _day("l_shipdate").alias("date"),
         (F.col("l_quantity") * 2 - 45).alias("temp_c"),

@@ -469,6 +469,13 @@ ORACLE: dict[str, str] = {
     + f"""SELECT county_id, year, crop,
         CASE WHEN {_md5_fraction(YIELD_KEYS_TEXT)} < 0.8e0 THEN 'train' ELSE 'test' END AS part
         FROM yields""",
+    "sampled_scaling": f"""WITH drawn AS (
+        SELECT l_quantity * 2 - 45 AS temp_c,
+               {_md5_fraction("concat_ws('|', 42, l_orderkey, l_linenumber)")} AS draw FROM lineitem)
+        SELECT fraction, count(*) AS row_count, {_r('avg(temp_c)', 6)} AS mean_temp_c
+        FROM drawn JOIN (SELECT unnest([0.1e0, 0.25e0, 0.5e0, 0.75e0, 1e0]) AS fraction)
+          ON draw < fraction
+        GROUP BY fraction""",
     "preview": _with(*FEATURES) + "SELECT * FROM lagged ORDER BY county_id, date LIMIT 5",
     "kv_get": _with(OBS, CLEAN, INDICES)
     + """SELECT county_id || '_' || date AS key, * FROM indices

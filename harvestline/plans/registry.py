@@ -505,7 +505,8 @@ def train_test_split(spark, d):
 
 @query
 def sampled_scaling(spark, d):
-    return sets.sampled_counts(b.obs(spark, d))
+    counts = sets.sampled_counts(b.keyed_obs(spark, d), ["order", "line"])
+    return counts.select("fraction", "row_count", _six("mean_temp_c"))
 
 
 @query

@@ -427,3 +427,15 @@ def test_counter_fills_while_writing(spark):
     frame, counter = sets.counted(spark.range(42), "written")
     frame.write.format("noop").mode("overwrite").save()
     assert counter.get == {"records": 42}
+
+
+def test_samples_by_key_do_not_move_and_are_nested(spark):
+    keys = spark.range(4000).selectExpr("id % 2000 as id", "id as temp_c")
+    small, large = (sets.sample_by_key(keys, ["id"], f) for f in (0.1, 0.5))
+    again = sets.sample_by_key(keys.repartition(7), ["id"], 0.1)
+    assert rows(small) == rows(again)
+    assert set(rows(small)) < set(rows(large)) and 250 < small.count() < 550
+    assert rows(sets.sample_by_key(keys, ["id"], 0.1, seed=7)) != rows(small)
+    assert sets.sample_by_key(keys, ["id"], 1.0).count() == 4000
+    counts = {r.fraction: r.row_count for r in sets.sampled_counts(keys, ["id"]).collect()}
+    assert counts[0.1] == small.count() and counts[0.5] == large.count() and counts[1.0] == 4000

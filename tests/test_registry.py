@@ -8,7 +8,7 @@ from harvestline.plans.oracle import ORACLE
 from harvestline.plans.registry import REGISTRY
 
 MODEL = {"rf_train", "rf_cv", "rf_importance", "rf_predictions"}
-ROWS_ONLY = MODEL | {"sampled_scaling"}
+ROWS_ONLY = MODEL
 
 
 def test_only_unrepeatable_queries_go_without_sql():
