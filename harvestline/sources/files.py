@@ -134,6 +134,17 @@ def _payload_list(payload: str) -> Column:
     return F.from_json(as_list, schemas.LIVE_PAYLOAD)
 
 
+def payload_rows(df: DataFrame, payload: str, *keep: str) -> DataFrame:
+    """Readings and rejects of live-weather payloads in one pass, each payload parsed once.
+
+    A row per location in payload order, and one with neither ``position`` nor ``reading`` for
+    a payload that gives none: missing, empty, or no JSON. Store it to use both parts.
+    """
+    return df.withColumn("_list", _payload_list(payload)).select(
+        *dict.fromkeys([*keep, payload]), F.posexplode_outer("_list").alias("position", "reading")
+    )
+
+
 def rejected_payloads(df: DataFrame, payload: str) -> DataFrame:
     """Rows whose payload gives no reading; with those that do, all rows."""
     return df.filter(F.coalesce(F.size(_payload_list(payload)), F.lit(0)) <= 0)
@@ -146,12 +157,15 @@ def parse_live_weather(df: DataFrame, payload: str, *keep: str) -> DataFrame:
     reading becomes 20.0 degrees or 0.0 mm. Payloads without any reading are left
     to ``rejected_payloads``.
     """
-    located = df.withColumn("_list", _payload_list(payload)).select(
-        *keep, F.posexplode("_list").alias("position", "reading")
-    )
+    rows = payload_rows(df, payload, *keep)
+    return readings(rows.filter(F.col("position").isNotNull()), *keep)
+
+
+def readings(rows: DataFrame, *keep: str) -> DataFrame:
+    """Temperature and rainfall of ``payload_rows``."""
     temp = F.col("reading.current.temperature_2m")
     precip = F.col("reading.current.precipitation")
-    return located.select(
+    return rows.select(
         *keep,
         "position",
         F.coalesce(F.round(temp, 2), F.lit(DEFAULT_TEMP_C)).alias("temp_c"),

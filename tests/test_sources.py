@@ -97,6 +97,25 @@ def test_every_payload_is_read_or_rejected(spark):
     assert sorted(r.id for r in files.rejected_payloads(frame, "body").collect()) == [2, 3, 4, 5]
 
 
+def test_readings_and_rejects_come_from_one_pass(spark, tmp_path):
+    texts = [
+        (1, '[{"current":{"temperature_2m":1.5}},null]'), (2, "[{"), (3, None), (4, "[]"),
+        (5, '{"current":{}}'), (5, '{"current":{}}'),
+    ]
+    spark.createDataFrame(texts, "id int, body string").write.parquet(str(tmp_path / "in"))
+    frame = spark.read.parquet(str(tmp_path / "in"))
+    both = files.payload_rows(frame, "body", "id")
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    both.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    rejects = stored.filter("position IS NULL")
+    assert rows(rejects.select("id")) == rows(files.rejected_payloads(frame, "body").select("id"))
+    found = files.readings(stored.filter("position IS NOT NULL"), "id")
+    assert rows(found) == rows(files.parse_live_weather(frame, "body", "id"))
+    assert len(rows(found)) == 4
+
+
 def test_payload_defaults(spark):
     texts = [
         (1, '[{"current":{"temperature_2m":1.234,"precipitation":0.5}},{"current":{}}]'),
