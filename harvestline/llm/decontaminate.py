@@ -2,12 +2,13 @@
 
 Word n-grams of the items are seeds. One pass over the documents looks every
 n-gram up in a bitmap of seed hashes, whose size is fixed, so nothing that grows
-with the corpus or the benchmark is sent to all tasks; what hits is joined with
-the seeds by hash. A document and an item are a candidate pair if they share a
-rare n-gram or two different ones: one common phrase is no evidence. Rare is an
-n-gram in at most ``RARE_SHARE`` of the documents, so a passage that leaked into
-very many of them still counts, by its second n-gram. One n-gram is also enough if
-the item has no other, or is so short that one can reach the similarity asked for.
+with the corpus or the benchmark is sent to all tasks; what hits is counted, and the ``SEEDS`` rarest n-grams of each item are
+joined by hash: the rarest it has, however frequent, so a passage that leaked into very
+many documents is still looked for. A document and an item are a candidate pair if they
+share a rare seed or a quarter of the item's seeds, two at least: one common phrase is no
+evidence. Rare is an n-gram in at most ``RARE_SHARE`` of the documents. One seed is also
+enough if the item has no other, or is so short that one can reach the similarity asked
+for.
 
 Around the seeds of a pair the Smith-Waterman score of the item against the
 document's words is computed. A pair is reported if the score is at least
@@ -22,7 +23,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -35,6 +36,7 @@ from pyspark.sql.types import (
 from harvestline.llm.common import Batches, keep, map_arrow, text_bytes
 
 WORDS = 3  # words of a seed
+SEEDS = 32  # n-grams of an item that are joined
 RARE_SHARE = 1e-3
 MIN_SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -252,8 +254,14 @@ def leaks(
         F.count_distinct("gram").alias("of"), (F.count("*") + WORDS - 1).alias("words")
     )
     short = F.col("words") * min_similarity <= WORDS
-    sizes = sizes.select("item_key", F.when(short, 1).otherwise(F.col("of")).alias("enough"))
-    rare = keep(seeds.join(spread, "gram").join(sizes, "item_key"), "seed-counts")
+    quarter = F.ceil(F.least("of", F.lit(SEEDS)) / 4)
+    enough = F.greatest(F.least("of", F.lit(2)), quarter)
+    sizes = sizes.select("item_key", F.when(short, 1).otherwise(enough).alias("enough"))
+    # A window holds the n-grams of one item, that of an item in several places once.
+    rarest = Window.partitionBy("item_key").orderBy("df", "gram")
+    counted = seeds.join(spread, "gram").withColumn("rank", F.dense_rank().over(rarest))
+    chosen = counted.where(F.col("rank") <= SEEDS).drop("rank")
+    rare = keep(chosen.join(sizes, "item_key"), "seed-counts")
     n_docs = docs.count()
     # A passage in very many documents has its n-grams there too: they are dealt out.
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
@@ -268,8 +276,7 @@ def leaks(
             F.min("enough").alias("enough"),
         )
         .where(
-            (F.col("grams") > 1)
-            | (F.col("grams") >= F.col("enough"))
+            (F.col("grams") >= F.col("enough"))
             | (F.col("df") <= RARE_SHARE * n_docs + 1)
         )
         .select("doc_id", "doc_key", "item_key", "shifts")

@@ -100,3 +100,70 @@ def test_short_items_in_many_documents_are_aligned(spark):
     items = spark.createDataFrame(list(enumerate(texts)), ITEMS)
     found = sorted((r.doc_id, r.item_id) for r in dec.leaks(docs(spark, rows), items).collect())
     assert found == [(k, 0) for k in range(8)] + [(20 + k, 1) for k in range(8)] + [(40, 2)]
+
+
+def edited(rng, text, share):
+    """A copy with words replaced, left out and put in."""
+    out = []
+    for word in text.split():
+        draw = rng.random()
+        if draw < share / 3:
+            out.append(f"x{rng.randrange(10**6)}")
+        elif draw < 2 * share / 3:
+            continue
+        else:
+            out.append(word)
+            if draw > 1 - share / 3:
+                out.append(f"y{rng.randrange(10**6)}")
+    return " ".join(out)
+
+
+def test_recall_against_alignment_of_all_pairs(spark):
+    """Items share stock phrases; copies are edited more and more."""
+    rng = random.Random(9)
+    stock = ["which of the following is true", "choose the best answer to the question"]
+    texts = [
+        f"{stock[k % 2]} " + " ".join(f"t{rng.randrange(900)}" for _ in range(rng.randrange(12, 45)))
+        for k in range(40)
+    ]
+    rows = []
+    for k in range(160):
+        body = " ".join(f"t{rng.randrange(900)}" for _ in range(60)) + f" {stock[k % 2]}"
+        if k < 110:
+            copy = edited(rng, texts[k % 40], (k // 10) * 0.04)
+            body = f"{body} {copy} " + " ".join(f"t{rng.randrange(900)}" for _ in range(30))
+        rows.append((k, body))
+    items = spark.createDataFrame(list(enumerate(texts)), ITEMS)
+    found = {(r.doc_id, r.item_id): r.score for r in dec.leaks(docs(spark, rows), items).collect()}
+    coded = [dec.codes(dec.words(t)) for t in texts]
+    wanted = {}
+    for i, body in rows:
+        code = dec.codes(dec.words(body)).astype(np.int64)
+        for j, own in enumerate(coded):
+            score = int(dec.align(own, [code])[0])
+            if score >= dec.MIN_SIMILARITY * dec.MATCH * len(own):
+                wanted[i, j] = score
+    assert len(wanted) > 70 and set(found) <= set(wanted)
+    assert len(found) >= 0.9 * len(wanted)
+    assert sum(found[p] == wanted[p] for p in found) >= 0.95 * len(found)
+
+
+def test_stock_phrases_of_a_large_benchmark_make_few_candidates(spark, monkeypatch):
+    """Candidates follow the copies, not items times documents."""
+    made = {}
+    keep = dec.keep
+
+    def counted(df, name, *args):
+        kept = keep(df, name, *args)
+        made[name] = kept.count() if name == "candidates" else None
+        return kept
+
+    monkeypatch.setattr(dec, "keep", counted)
+    phrase = "which of the following is"
+    items = [(k, f"{phrase} " + " ".join(f"i{k}w{w}" for w in range(30))) for k in range(100)]
+    rows = [(k, f"{phrase} " + long_text(20, k)) for k in range(300)]
+    rows += [(1000 + k, long_text(5, k) + " " + items[k][1]) for k in range(50)]
+    bench_ = spark.createDataFrame(items, ITEMS)
+    found = {(r.doc_id, r.item_id) for r in dec.leaks(docs(spark, rows), bench_).collect()}
+    assert found >= {(1000 + k, k) for k in range(50)}
+    assert made["candidates"] < 200  # of 35,000 pairs
