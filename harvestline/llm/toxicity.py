@@ -7,9 +7,9 @@ sort instead; the fit is penalised by the square of the change in score (on the
 logit scale), so naming a group does not count by itself.
 
 The fit uses at most ``MAX_TRAIN`` labelled texts, those with the smallest hash
-of their id, and ``MAX_FEATURES`` features, those most tied to the label. Both
-bounds are parameters; with them the model is small, whatever the corpus. All
-texts are scored whole, in one pass without a shuffle.
+of their id: a parameter, with which the model is small, whatever the corpus. Features
+are those tied to the label beyond chance, as many as there are. All texts are scored
+whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -40,9 +40,8 @@ from harvestline.llm.common import (
 
 FOLDS, HELD_FOLD = 5, 0
 MAX_TRAIN = 30_000
-MAX_FEATURES = 1_000
 LEAST_TEXTS = 3  # labelled texts a feature must be in
-LEAST_TIE = 3.0  # standard deviations from chance; keeps words out that are common by accident
+LEAST_TIE = 4.0  # standard deviations from chance; keeps words out that are common by accident
 PREFIXES = (4, 5, 6)
 SLAB = 4 << 20
 FAIRNESS = 5.0  # weight of the penalty on score changes
@@ -164,21 +163,24 @@ def labelled_features(texts: DataFrame) -> DataFrame:
     return map_arrow(texts.select("text", "toxic"), rows, schema)
 
 
-def chosen_features(rows: DataFrame, most: int) -> np.ndarray:
-    """Hashes of the features most tied to the label, and of all group terms."""
+def chosen_features(rows: DataFrame) -> np.ndarray:
+    """Hashes of the features tied to the label, and of all group terms.
+
+    The tie is the distance from the expected number of toxic texts in standard
+    deviations, so it means the same at every share of toxic texts.
+    """
     each = rows.select("toxic", F.explode(F.array_distinct("held")).alias("h"))
     counts = each.groupBy("h").agg(
         F.sum("toxic").alias("with_one"), F.count("*").alias("texts")
     )
     ones, all_ = rows.agg(F.sum("toxic"), F.count("*")).first()
-    expected = F.col("texts") * ((ones or 0) / max(1, all_))
-    # Texts of either label more or fewer than expected, in standard deviations.
-    tie = F.abs(F.col("with_one") - expected) / F.sqrt(expected + 1)
+    share = (ones or 0) / max(1, all_)
+    expected = F.col("texts") * share
+    spread = F.sqrt(F.greatest(expected * (1 - share), F.lit(1e-9)))
+    tie = F.abs(F.col("with_one") - expected) / spread
     found = (
         counts.where((F.col("texts") >= LEAST_TEXTS) & (tie >= LEAST_TIE))
-        .orderBy(tie.desc(), "h")
         .select("h")
-        .limit(most)
         .toArrow()["h"]
         .to_numpy()
     )
@@ -243,7 +245,6 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     max_train: int = MAX_TRAIN,
-    max_features: int = MAX_FEATURES,
     fairness: float = FAIRNESS,
 ) -> Model:
     """Model from the labelled texts outside the held-out fold.
@@ -263,7 +264,7 @@ def fit(
     texts = docs.select(F.col(id_col).alias("_text_id"), F.col(text_col).alias("text"))
     joined = texts.join(marks, texts["_text_id"] == marks["_label_id"]).select("text", "toxic")
     rows = keep(labelled_features(joined), "labelled")
-    features = chosen_features(rows, max_features)
+    features = chosen_features(rows)
     return fit_rows(_bounded(rows, features, max_train), features, fairness)
 
 

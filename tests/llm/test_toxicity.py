@@ -90,5 +90,69 @@ def test_no_labels_and_no_rows(spark):
 def test_bound_of_the_training_rows(spark):
     rows, labels = corpus(200)
     frame, marks = docs(spark, rows), spark.createDataFrame(labels, LABELS)
-    small = toxicity.fit(frame, marks, max_train=60, max_features=30)
-    assert 0 < len(small.features) <= 30 + sum(len(toxicity.feature_hashes(t)) for t in toxicity.OTHERS)
+    small = toxicity.fit(frame, marks, max_train=60)
+    whole = toxicity.fit(frame, marks)
+    assert 0 < len(small.features) < len(whole.features)
+
+
+def dense(lists, features):
+    """Counts of the features by text."""
+    at = {int(h): k for k, h in enumerate(features)}
+    made = np.zeros((len(lists), len(features)))
+    for row, hashes in enumerate(lists):
+        for h in hashes:
+            if h in at:
+                made[row, at[h]] += 1
+    return made
+
+
+def loss_slope(x, change, label, weights, bias, fairness):
+    """Slope of the mean log loss, the ridge and the fairness penalty, written out."""
+    chance = 1 / (1 + np.exp(-(x @ weights + bias)))
+    n = len(label)
+    penalty = 2 * fairness / n * (change.T @ (change @ weights))
+    return (
+        x.T @ (chance - label) / n + toxicity.RIDGE * weights + penalty,
+        float((chance - label).mean()),
+    )
+
+
+def test_fit_equals_a_dense_implementation_of_the_same_loss():
+    rows, labels = corpus(250)
+    table = pa.array([t for _, t in rows])
+    held, gone, came = toxicity.text_features(table)
+    label = np.array([t for _, _, t in labels])
+    counts = {}
+    for own in held:
+        for h in set(own):
+            counts[h] = counts.get(h, 0) + 1
+    features = np.array(sorted(h for h, n in counts.items() if n >= 6), dtype=np.int64)
+    kind = pa.list_(pa.int64())
+    columns = {"held": pa.array(held, kind), "gone": pa.array(gone, kind), "came": pa.array(came, kind)}
+    model = toxicity.fit_rows(pa.table({"toxic": pa.array(label), **columns}), features, 2.0)
+
+    x, change = dense(held, features), dense(came, features) - dense(gone, features)
+    prior = (label.sum() + 0.5) / (len(label) + 1)
+    state = np.append(np.zeros(len(features)), np.log(prior / (1 - prior)))
+    mean, square = np.zeros_like(state), np.zeros_like(state)
+    for step in range(1, toxicity.STEPS + 1):
+        slope = np.append(*loss_slope(x, change, label, state[:-1], state[-1], 2.0))
+        mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
+        sized = np.sqrt(square / (1 - 0.999**step)) + 1e-8
+        state = state - toxicity.RATE * mean / (1 - 0.9**step) / sized
+    assert np.allclose(model.weights, state[:-1], atol=1e-6) and abs(model.bias - state[-1]) < 1e-6
+    start = np.append(*loss_slope(x, change, label, 0 * state[:-1], 0.0, 2.0))
+    end = np.append(*loss_slope(x, change, label, state[:-1], state[-1], 2.0))
+    assert np.linalg.norm(end) < 0.1 * np.linalg.norm(start)
+
+
+def test_rare_words_tied_to_the_label_count_at_any_share_of_toxic_texts(spark):
+    """The tie is measured against the spread that chance gives at that share."""
+    for share in (0.1, 0.5):
+        rows = []
+        for i in range(400):
+            toxic = int(i < 400 * share)
+            rows.append((toxic, [1] if toxic and i < 25 else [2 + i % 7]))
+        frame = spark.createDataFrame(rows, "toxic int, held array<long>")
+        assert 1 in toxicity.chosen_features(frame)
+        assert 2 not in toxicity.chosen_features(frame)
