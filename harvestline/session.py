@@ -46,11 +46,16 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_process(spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
     return _local_root()
 
 
+def one_process(master: str) -> bool:
+    """Whether driver and executors are one process; with ``local-cluster`` they are not."""
+    return master == "local" or master.startswith("local[")
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="harvestline-")
