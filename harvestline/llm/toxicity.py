@@ -43,7 +43,8 @@ MAX_TRAIN = 30_000
 LEAST_TEXTS = 3  # labelled texts a feature must be in
 LEAST_TIE = 4.0  # standard deviations from chance; keeps words out that are common by accident
 PREFIXES = (4, 5, 6)
-SLAB = 4 << 20
+SLAB = 1 << 20
+KNOWN = 1 << 17  # words whose weights a task remembers at once
 FAIRNESS = 5.0  # weight of the penalty on score changes
 RIDGE = 3e-5
 STEPS = 300
@@ -116,6 +117,8 @@ class Model:
         table = dict(zip(self.features.tolist(), self.weights.tolist(), strict=True))
         known: dict[str, float] = {}
         for first, unique, text, word in bags(column):
+            if len(known) > KNOWN:
+                known.clear()
             for w in unique:
                 if w not in known:
                     known[w] = sum(table.get(h, 0.0) for h in feature_hashes(w))
