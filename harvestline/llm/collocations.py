@@ -38,6 +38,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 NO_LANG = "und"
+RANKED_AT_ONCE = 50_000  # phrases, all languages together
 CHUNK = 2 << 20  # bytes of text at once; longer texts are cut between pieces
 BITS_PER_ITEM = 16
 MOST_BITS = 1 << 28  # 32 MB
@@ -644,9 +645,18 @@ def collocations(
         .where(F.col("most").isNull() | (100 * F.col("most") < 100 * F.col("a")))
         .drop("most")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # A language may have any number of phrases: each part hands on its first ones.
+    parts = phrases.count() // RANKED_AT_ONCE + 1
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(parts)).alias("part")
+    within_part = Window.partitionBy("lang", "part").orderBy(*order)
+    first = (
+        left_over.select("*", part)
+        .withColumn("rank", F.row_number().over(within_part))
+        .where(F.col("rank") <= top)
+    )
     return (
-        left_over.withColumn("rank", F.row_number().over(order))
+        first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("rank") <= top)
         .select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
     )

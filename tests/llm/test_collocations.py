@@ -87,9 +87,10 @@ ODD = [
 ]
 
 
-def test_phrases_equal_brute_force(spark):
+def test_phrases_equal_brute_force(spark, monkeypatch):
     rows = corpus() + ODD
     assert found(spark, rows, least=8) == brute(rows, 8, 5, 2000)
+    monkeypatch.setattr(collocations, "RANKED_AT_ONCE", 9)
     assert found(spark, rows, least=8, top=7) == brute(rows, 8, 5, 7)
 
 
