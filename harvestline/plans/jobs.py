@@ -221,7 +221,7 @@ def run_monitoring(
     if interval_seconds is None:
         daily.run(relay)
     summary = daily.start_daily(
-        daily.stream_observations(spark, relayed), target, f"{checkpoints}/daily", interval_seconds
+        daily.stream_relayed(spark, relayed), target, f"{checkpoints}/daily", interval_seconds
     )
     try:
         daily.run(summary, duration_seconds)

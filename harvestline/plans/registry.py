@@ -712,7 +712,7 @@ def stream_relay(spark, d):
     """Relay into files, then the daily summary streamed from those files."""
     relayed, _ = _relay(spark, d, None)
     target = scratch_path(spark, "daily")
-    incoming = daily.stream_observations(spark, relayed)
+    incoming = daily.stream_relayed(spark, relayed)
     daily.run(daily.start_daily(incoming, target, scratch_path(spark, "daily-checkpoint")))
     return daily.read_latest(spark, target).drop("key", daily.RUN, daily.EPOCH)
 

@@ -14,6 +14,7 @@ from harvestline.operators.keyed import keep_versions, to_kv
 from harvestline.operators.weather import daily_summary
 
 MAX_FILES_PER_TRIGGER = 10
+MAX_BYTES_PER_TRIGGER = 256 << 20  # where files are small, as relayed ones
 VERSIONS = 3
 RUN = "run"
 EPOCH = "epoch"
@@ -29,16 +30,29 @@ STORED = StructType(
 
 
 def stream_observations(
-    spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_TRIGGER
+    spark: SparkSession,
+    path: str,
+    max_files: int = MAX_FILES_PER_TRIGGER,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """CSV files as they arrive; a file whose header has other names or another order is an error."""
+    """CSV files as they arrive; a file whose header has other names or another order is an error.
+
+    A batch has at most ``max_files``, or ``max_bytes`` in place of that: every batch commits
+    the whole state store, so with small files the bytes have to bound it.
+    """
+    most = {"maxBytesPerTrigger": max_bytes} if max_bytes else {"maxFilesPerTrigger": max_files}
     return (
         spark.readStream.schema(schemas.WEATHER_OBS)
-        .options(header=True, enforceSchema=False, maxFilesPerTrigger=max_files)
+        .options(header=True, enforceSchema=False, **most)
         .csv(path)
     )
 
 
+def stream_relayed(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a relay, which cuts them small."""
+    return stream_observations(spark, path, max_bytes=MAX_BYTES_PER_TRIGGER)
+
+
 def stream_daily(obs: DataFrame) -> DataFrame:
     """Cleaned summary per county and day; rows sent again are added, not replaced.
 

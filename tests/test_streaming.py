@@ -139,6 +139,19 @@ def test_relay_takes_each_file_once_and_cuts_files(spark, folders):
     assert max(sizes) <= 500 and sum(sizes) == 1210
 
 
+def test_relayed_files_are_summed_in_few_batches(spark, folders):
+    lines = "".join(f"{i},2015-01-01,10,1\n" for i in range(1, 41))
+    put(folders["inbox"], "a.csv", HEAD + lines)
+    incoming = spool.stream_spool(spark, folders["inbox"])
+    daily.run(spool.start_relay(incoming, folders["archive"], folders["checkpoint"] + "1", rows=1))
+    assert len(glob.glob(f"{folders['archive']}/part-*.csv")) == 40
+    incoming = daily.stream_relayed(spark, folders["archive"])
+    daily.run(daily.start_daily(incoming, folders["target"], folders["checkpoint"] + "2"))
+    assert daily.read_latest(spark, folders["target"]).count() == 40
+    epochs = glob.glob(f"{folders['target']}/run=0/epoch=*")
+    assert [os.path.basename(e) for e in epochs] == ["epoch=0"]
+
+
 def test_counters(spark, folders):
     put(folders["inbox"], "a.csv", HEAD + "1,2015-01-01,10,1\n" * 7)
     put(folders["inbox"], "b.csv", HEAD + "1,2015-01-01,10,1\n" * 5)
