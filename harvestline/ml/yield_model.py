@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -11,14 +12,16 @@ from statistics import fmean
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from harvestline import schemas
 from harvestline.functions.numeric import md5_fraction, stable_round
 from harvestline.operators.metrics import regression_metrics
 from harvestline.operators.sets import split
+from harvestline.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -83,48 +86,104 @@ def forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestRegressor:
     )
 
 
-def prefix_errors(
-    model: RandomForestRegressionModel, data: DataFrame, sizes: Sequence[int]
-) -> dict[int, float]:
-    """Root mean squared error of the first trees of a forest, for several numbers of trees.
+def leaf_values(nodes: Sequence[Row], depths: Sequence[int]) -> dict[int, list[float]]:
+    """For each depth, what the tree cut there predicts for each of its leaves, left to right.
+
+    ``nodes`` are those of one tree by id, ``leftChild`` and ``rightChild`` -1 in a leaf.
+    """
+    found = {depth: [] for depth in depths}
+
+    def walk(node: Row, level: int, above: dict[int, float]) -> None:
+        here = {d: node.prediction if level <= d else above[d] for d in depths}
+        if node.leftChild < 0:
+            for depth, value in here.items():
+                found[depth].append(value)
+            return
+        walk(nodes[node.leftChild], level + 1, here)
+        walk(nodes[node.rightChild], level + 1, here)
+
+    walk(nodes[0], 0, {})
+    return found
+
+
+def cut_errors(
+    model: RandomForestRegressionModel,
+    data: DataFrame,
+    sizes: Sequence[int],
+    depths: Sequence[int],
+) -> dict[tuple[int, int], float]:
+    """Root mean squared error by number of trees and depth: of the first trees, cut at the depth.
 
     Trees are drawn independently of each other, so the first k of them are a forest of
-    k trees. All trees score a row once, in one pass over the data.
+    k trees. They are grown level by level, and a level does not depend on those below,
+    so a deep forest cut at a depth is the forest of that depth. The leaves that a row
+    falls into are found once, in one pass over the data.
     """
-    scored = data.select("features", "label")
-    for i, tree in enumerate(model.trees):
-        scored = tree.setPredictionCol(f"tree_{i}").transform(scored)
+    spark = data.sparkSession
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    # At most 2 ** (depth + 1) nodes a tree, whatever the data.
+    saved = spark.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild"
+    )
+    trees: dict[int, list[Row]] = {}
+    for node in sorted(saved.collect()):
+        trees.setdefault(node.treeID, []).append(node)
+    values = {tree: leaf_values(nodes, depths) for tree, nodes in trees.items()}
+
+    found = model.transform(
+        data.select("features", "label"), {model.leafCol: "leaf", model.predictionCol: ""}
+    )
+    leaves = found.select("label", vector_to_array("leaf").alias("leaves"))
+
+    def value(tree: int, depth: int) -> Column:
+        of_leaf = F.from_json(F.lit(json.dumps(values[tree][depth])), "array<double>")
+        return F.get(of_leaf, F.col("leaves")[tree].cast("int"))
+
+    steps = list(zip([0, *sorted(sizes)], sorted(sizes)))
+    sums = leaves.select(
+        "label",
+        *[
+            sum((value(t, depth) for t in range(first, last)), F.lit(0.0)).alias(f"{depth}_{last}")
+            for depth in depths
+            for first, last in steps
+        ],
+    )
+
+    def error(k: int, depth: int) -> Column:
+        mean = sum((F.col(f"{depth}_{last}") for _, last in steps if last <= k), F.lit(0.0)) / k
+        return F.sqrt(F.avg(F.pow(mean - F.col("label"), 2))).alias(f"{k}_{depth}")
 
-    def mean_of(k: int) -> Column:
-        return sum((F.col(f"tree_{i}") for i in range(k)), F.lit(0.0)) / k
+    errors = sums.agg(*[error(k, depth) for k in sizes for depth in depths]).first()
+    return {(k, depth): errors[f"{k}_{depth}"] for k in sizes for depth in depths}
 
-    squares = {k: F.sqrt(F.avg(F.pow(mean_of(k) - F.col("label"), 2))) for k in sizes}
-    found = scored.agg(*[error.alias(str(k)) for k, error in squares.items()]).first()
-    return {k: found[str(k)] for k in sizes}
+
+def prefix_errors(
+    model: RandomForestRegressionModel, data: DataFrame, sizes: Sequence[int]
+) -> dict[int, float]:
+    """Root mean squared error of the first trees of a forest, for several numbers of trees."""
+    depth = model.getOrDefault("maxDepth")
+    return {k: error for (k, _), error in cut_errors(model, data, sizes, (depth,)).items()}
 
 
 def cross_validate(train_set: DataFrame, parallelism: int) -> list[GridPoint]:
     """Mean error of every grid point over the folds.
 
-    One forest for each fold and depth, of as many trees as the grid has at most; the
-    smaller ones are its first trees. ``train_set`` has ``features``, ``label``, ``fold``.
+    One forest for each fold, of as many trees and as deep as the grid has at most; the
+    smaller ones are its first trees, cut. ``train_set`` has ``features``, ``label``, ``fold``.
     """
-    most = max(TREE_GRID)
 
-    def errors(fold: int, depth: int) -> dict[int, float]:
-        model = forest(most, depth).fit(train_set.filter(F.col("fold") != fold))
-        return prefix_errors(model, train_set.filter(F.col("fold") == fold), TREE_GRID)
+    def errors(fold: int) -> dict[tuple[int, int], float]:
+        model = forest(max(TREE_GRID), max(DEPTH_GRID)).fit(train_set.filter(F.col("fold") != fold))
+        held_out = train_set.filter(F.col("fold") == fold)
+        return cut_errors(model, held_out, TREE_GRID, DEPTH_GRID)
 
     spark = train_set.sparkSession
-    # The deepest take longest and go first.
-    jobs = [(fold, depth) for depth in sorted(DEPTH_GRID, reverse=True) for fold in range(FOLDS)]
     with ThreadPoolExecutor(parallelism) as pool:
-        running = {
-            job: pool.submit(inheritable_thread_target(spark)(errors), *job) for job in jobs
-        }
-        found = {job: future.result() for job, future in running.items()}
+        running = [pool.submit(inheritable_thread_target(spark)(errors), k) for k in range(FOLDS)]
+        found = [future.result() for future in running]
     return [
-        GridPoint(trees, depth, fmean(found[fold, depth][trees] for fold in range(FOLDS)))
+        GridPoint(trees, depth, fmean(fold[trees, depth] for fold in found))
         for trees in TREE_GRID
         for depth in DEPTH_GRID
     ]

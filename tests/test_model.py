@@ -120,6 +120,30 @@ def test_grid_errors_equal_separate_forests_of_most_trees(training, monkeypatch)
     folds.unpersist()
 
 
+def test_one_forest_a_fold_gives_all_depths(training, monkeypatch):
+    """The errors of each depth are those of forests grown to that depth."""
+    monkeypatch.setattr(yield_model, "TREE_GRID", (3, 6))
+    monkeypatch.setattr(yield_model, "DEPTH_GRID", (2, 4, 7))
+    data = yield_model.with_label(yield_model.encoder().fit(training).transform(training))
+    folds = data.select(
+        "features", "label", (F.col("county_id") % yield_model.FOLDS).alias("fold")
+    ).persist()
+    grown, forest = [], yield_model.forest
+    monkeypatch.setattr(yield_model, "forest", lambda *size: grown.append(size) or forest(*size))
+    grid = {(p.trees, p.depth): p.rmse for p in yield_model.cross_validate(folds, 4)}
+    assert grown == [(6, 7)] * yield_model.FOLDS
+    evaluator = RegressionEvaluator(labelCol="label", metricName="rmse")
+    for depth in (2, 4, 7):
+        alone = [
+            evaluator.evaluate(
+                forest(6, depth).fit(folds.filter(F.col("fold") != k)).transform(folds.filter(F.col("fold") == k))
+            )
+            for k in range(yield_model.FOLDS)
+        ]
+        assert grid[6, depth] == pytest.approx(sum(alone) / len(alone), rel=1e-9)
+    folds.unpersist()
+
+
 def test_too_little_data_falls_back_to_one_fit(training):
     few = training.filter("county_id = 1 and year < 2012")
     assert yield_model.train(few).cross_validation is None
