@@ -39,7 +39,9 @@ LONGEST = 5
 TOP = 2000
 NO_LANG = "und"
 RANKED_AT_ONCE = 50_000  # phrases, all languages together
-CHUNK = 2 << 20  # bytes of text at once; longer texts are cut between pieces
+# Bytes of text at once; longer texts are cut between pieces. A chunk takes about a hundred times
+# its size in a worker, and two workers run for each core where two steps share a stage.
+CHUNK = 1 << 19
 BITS_PER_ITEM = 16
 MOST_BITS = 1 << 28  # 32 MB
 FULL = 64  # bits of a fingerprint; tests take fewer, so that phrases collide

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -70,7 +71,25 @@ def map_arrow(
     df: DataFrame, rows: Callable[[Batches], Batches], schema: StructType | str
 ) -> DataFrame:
     importable(df.sparkSession)
-    return df.mapInArrow(rows, schema)
+
+    def tidy(batches: Batches) -> Batches:
+        try:
+            yield from rows(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system.
+
+    Workers live on between tasks, and would hold it beside the executor's next stages.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
