@@ -88,7 +88,8 @@ def bucket_classes(distinct: DataFrame) -> Column:
 
 
 def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
-    """Rows of the rarest words of each line: ``word``, its place ``i`` of ``n``, the line.
+    """The rarest words of each line, in order: ``s``, ``words``, and of all its words the
+    number ``n`` and the bitmap.
 
     A word stands for itself by its hash, the class of its bucket in front, so that
     the order of the numbers is that of rarity.
@@ -125,15 +126,23 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     )
     n = F.size("codes")
     kept = n - ceil_div(n * PART, WHOLE) + 1
-    # Before the rows of a line are made, so once for a line.
-    whole = coded.select(
-        "s", "codes", n.alias("n"), bits(0).alias("low"), bits(1).alias("high")
-    )
-    return whole.select(
-        "s", "n", "low", "high", F.posexplode(F.slice("codes", F.lit(1), kept)).alias("i", "word")
+    return coded.select(
+        "s",
+        n.alias("n"),
+        bits(0).alias("low"),
+        bits(1).alias("high"),
+        F.slice("codes", F.lit(1), kept).alias("words"),
     )
 
 
+def each_word(prefix: DataFrame) -> DataFrame:
+    """A row for each word of the prefixes: ``word``, its place ``i``, the line.
+
+    About ten a line, so they are made where they are joined and stored nowhere.
+    """
+    return prefix.select("s", "n", "low", "high", F.posexplode("words").alias("i", "word"))
+
+
 def _may_match(a: str, b: str) -> Column:
     """Length, positional and bitmap filters for two lines that meet at a prefix word.
 
@@ -179,22 +188,23 @@ def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
 def matched_lines(distinct: DataFrame) -> DataFrame:
     """Lines ``s`` that match another line whose first place is earlier."""
     prefix = keep(prefixes(distinct, bucket_classes(distinct)), "prefixes")
+    every = each_word(prefix)
     first = keep(
-        prefix.groupBy("word")
+        every.groupBy("word")
         .agg(F.min(F.struct("s", "n", "i", "low", "high")).alias("b"), F.count("*").alias("lines"))
         .where("lines > 1")
         .select("word", "b"),
         "first-lines",
     )
-    met = prefix.alias("a").join(first.hint("merge"), "word")
+    met = every.alias("a").join(first.hint("merge"), "word")
     near = met.where((F.col("a.s") != F.col("b.s")) & _may_match("a", "b"))
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
     pairs = keep(pairs.distinct(), "first-pairs")
     drop(first)
     matched = _verified(pairs, distinct)
 
-    probes = prefix.join(matched.hint("merge"), "s", "left_anti").alias("a")
-    met = probes.join(prefix.alias("b").hint("merge"), "word")
+    unmatched = prefix.join(matched.hint("merge"), "s", "left_anti")
+    met = each_word(unmatched).alias("a").join(every.alias("b").hint("merge"), "word")
     near = met.where((F.col("b.s") < F.col("a.s")) & _may_match("a", "b"))
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
     pairs = keep(pairs.distinct(), "pairs")

@@ -90,3 +90,14 @@ def test_columns_stay_and_no_rows(spark):
     assert found.columns == [*docs(spark, []).columns, "words", "s", "none", "n_lines", "n_removed"]
     assert sorted((r.doc_id, r.text, r.words) for r in found.collect()) == [(1, "X Y", 1), (2, "", 1)]
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
+
+
+def test_prefixes_are_stored_as_one_row_a_line(spark):
+    lines = ["one two three four five six seven eight nine ten", "one two three", "alone"]
+    distinct = spark.createDataFrame(list(enumerate(lines)), "s long, line string")
+    prefix = line_dedup.prefixes(distinct, line_dedup.bucket_classes(distinct))
+    assert [(r.s, r.n, len(r.words)) for r in prefix.orderBy("s").collect()] == [
+        (0, 10, 3), (1, 3, 1), (2, 1, 1)
+    ]
+    each = line_dedup.each_word(prefix).where("s = 0").orderBy("i").collect()
+    assert [r.i for r in each] == [0, 1, 2] and sorted(r.word for r in each) == [r.word for r in each]
