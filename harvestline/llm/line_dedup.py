@@ -7,7 +7,7 @@ order of document id and place, whether that line stays or not.
 Equal lines are counted once, at their first place. The words of a line are
 ordered by rarity, and lines that match share one of their rarest words (their
 prefixes). Pairs that meet there are cut by length, by the place of the shared word
-and by a bitmap of the words (all three never lose a match), then verified on the words themselves. First each line is held against the
+and by bitmaps of the words (all never lose a match), then verified on the words themselves. First each line is held against the
 first line that has the same prefix word: of a large group of near copies nearly
 all find a match there, without pairs among them. Those that found none are then
 held against all earlier lines with the same prefix word.
@@ -19,6 +19,8 @@ is too; any order gives the same result. SQL functions only.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 LINE = "\n"
 PLACE = ("none", "id", "pos")
 LINES, REMOVED = "n_lines", "n_removed"
+LONGS = 4  # of 64 bits each, in the bitmaps that are held against pairs
+SLICES = 2  # of the prefix words, joined one after the other to hold less on disk at once
 
 
 def ceil_div(a: Column, b: int) -> Column:
@@ -68,8 +72,12 @@ def distinct_lines(found: DataFrame) -> DataFrame:
     grouped = found.groupBy("k1", "k2").agg(
         F.min(F.struct(*PLACE)).alias("first"), F.any_value("line").alias("line")
     )
+    # Stored first: the shuffles by hash and by place would both hold every line at once.
+    grouped = keep(grouped, "grouped-lines")
     ordered = grouped.repartitionByRange("first").sortWithinPartitions("first")
-    return ordered.withColumn("s", F.monotonically_increasing_id())
+    distinct = keep(ordered.withColumn("s", F.monotonically_increasing_id()), "distinct-lines")
+    drop(grouped)
+    return distinct
 
 
 def bucket_classes(distinct: DataFrame) -> Column:
@@ -89,14 +97,13 @@ def bucket_classes(distinct: DataFrame) -> Column:
 
 def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     """The rarest words of each line, in order: ``s``, ``words``, and of all its words the
-    number ``n`` and the bitmap.
+    number ``n`` and the bitmap, of which every word flips one bit.
 
     A word stands for itself by its hash, the class of its bucket in front, so that
     the order of the numbers is that of rarity.
     """
 
-    def code(word: Column) -> Column:
-        hashed = F.xxhash64(word)
+    def code(hashed: Column) -> Column:
         bucket = hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
         letter = F.substr(classes, bucket + 1, F.lit(1)).cast("string")
         class_ = (F.ascii(letter) - FIRST_LETTER).cast("long")
@@ -104,33 +111,25 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
             F.shiftrightunsigned(hashed, CLASS_BITS + 1)
         )
 
-    def bits(half: int) -> Column:
-        """One bit a word, in the half its hash picks: equal words set equal bits."""
-        mine = F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(1)) == half)
+    def flip(bits: Column, c: Column) -> Column:
         one = F.lit(1).cast("long")
-        return F.aggregate(
-            mine,
-            F.lit(0).cast("long"),
-            lambda acc, c: acc.bitwiseOR(
-                F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
-            ),
+        return bits.bitwiseXOR(
+            F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
         )
 
-    codes = F.transform(F.split("line", SPACE), code)
+    hashes = F.array_distinct(F.transform(F.split("line", SPACE), lambda w: F.xxhash64(w)))
+    hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))
     coded = distinct.select(
         # One row from one: the codes are used several times and made once.
         "s",
-        F.explode(
-            F.array(F.sort_array(F.array_distinct(F.array_remove(codes, code(F.lit(""))))))
-        ).alias("codes"),
+        F.explode(F.array(F.sort_array(F.array_distinct(F.transform(hashes, code))))).alias("codes"),
     )
     n = F.size("codes")
     kept = n - ceil_div(n * PART, WHOLE) + 1
     return coded.select(
         "s",
         n.alias("n"),
-        bits(0).alias("low"),
-        bits(1).alias("high"),
+        F.aggregate("codes", F.lit(0).cast("long"), flip).alias("bits"),
         F.slice("codes", F.lit(1), kept).alias("words"),
     )
 
@@ -140,48 +139,66 @@ def each_word(prefix: DataFrame) -> DataFrame:
 
     About ten a line, so they are made where they are joined and stored nowhere.
     """
-    return prefix.select("s", "n", "low", "high", F.posexplode("words").alias("i", "word"))
+    return prefix.select("s", "n", "bits", F.posexplode("words").alias("i", "word"))
 
 
 def _may_match(a: str, b: str) -> Column:
     """Length, positional and bitmap filters for two lines that meet at a prefix word.
 
     Lines that match differ in at most so many words, and each differing bit takes
-    a word that differs.
+    a word that differs: words of both flip the same bit in both.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     needed = ceil_div((n + m) * PART, PART + WHOLE)
     alike = F.least(n, m) * WHOLE >= F.greatest(n, m) * PART
     place = F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i")) >= needed
+    differ = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
+    return alike & place & (differ <= n + m - 2 * needed)
+
+
+def _close(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """Those of the pairs that long bitmaps of their lines leave; they never lose a match.
+
+    The bitmap that goes with every prefix word is full in long lines. This one is made
+    for the lines of the pairs only, and is held against each pair once, before the texts are.
+    """
+    each = held.select("s", F.explode(words(F.col("line"))).alias("w"))
+    each = each.select("s", F.xxhash64("w").alias("h"))
+    one = F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int")
+    )
+    part = F.shiftright("h", 6).bitwiseAND(F.lit(LONGS - 1))
+    bits = [F.coalesce(F.bit_xor(F.when(part == k, one)), F.lit(0)) for k in range(LONGS)]
+    marks = each.groupBy("s").agg(F.array(*bits).alias("bits"), F.count("*").alias("n"))
+    marks = keep(marks, "marks")
+    a, b = marks.alias("a"), marks.select(F.col("s").alias("t"), "bits", "n").alias("b")
+    both = pairs.join(a.hint("merge"), "s").join(b.hint("merge"), "t")
+    n, m = F.col("a.n"), F.col("b.n")
     differ = sum(
-        F.bit_count(F.col(f"{a}.{half}").bitwiseXOR(F.col(f"{b}.{half}"))) for half in ("low", "high")
+        F.bit_count(F.col("a.bits")[k].bitwiseXOR(F.col("b.bits")[k])) for k in range(LONGS)
     )
-    return alike & place & (differ <= n + m - 2 * needed)
+    close = both.where(differ <= n + m - 2 * ceil_div((n + m) * PART, PART + WHOLE))
+    close = keep(close.select("s", "t"), "close-pairs")
+    drop(marks)
+    return close
 
 
 def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     """Lines ``s`` of the pairs ``s``, ``t`` that are similar enough."""
     asked = keep(pairs.select("s").union(pairs.select("t")).distinct(), "asked")
-    held = keep(
-        distinct.select("s", "line").join(asked.hint("merge"), "s", "left_semi"), "asked-lines"
-    )
-    other = held.select(F.col("s").alias("t"), F.col("line").alias("other"))
+    held = distinct.select("s", "line").join(asked.hint("merge"), "s", "left_semi")
+    held = keep(held.withColumn("n", F.size(words(F.col("line")))), "asked-lines")
+    close = _close(pairs, held)
+    other = held.select(F.col("s").alias("t"), F.col("line").alias("other"), F.col("n").alias("m"))
     both = (
-        pairs.join(held.hint("merge"), "s")
+        close.join(held.hint("merge"), "s")
         .join(other.hint("merge"), "t")
     )
-    a, b = words(F.col("line")), words(F.col("other"))
-    sizes = keep(
-        both.select(
-            "s",
-            F.size(F.array_intersect(a, b)).alias("shared"),
-            F.size(F.array_union(a, b)).alias("union"),
-        ),
-        "overlaps",
-    )
-    alike = F.col("shared") * WHOLE >= F.col("union") * PART
+    common = F.array_intersect(words(F.col("line")), words(F.col("other")))
+    sizes = keep(both.select("s", "n", "m", F.size(common).alias("shared")), "overlaps")
+    alike = F.col("shared") * WHOLE >= (F.col("n") + F.col("m") - F.col("shared")) * PART
     matched = keep(sizes.where(alike).select("s").distinct(), "matched")
-    drop(asked, held, sizes, pairs)
+    drop(asked, held, close, sizes, pairs)
     return matched
 
 
@@ -191,7 +208,7 @@ def matched_lines(distinct: DataFrame) -> DataFrame:
     every = each_word(prefix)
     first = keep(
         every.groupBy("word")
-        .agg(F.min(F.struct("s", "n", "i", "low", "high")).alias("b"), F.count("*").alias("lines"))
+        .agg(F.min(F.struct("s", "n", "i", "bits")).alias("b"), F.count("*").alias("lines"))
         .where("lines > 1")
         .select("word", "b"),
         "first-lines",
@@ -203,13 +220,23 @@ def matched_lines(distinct: DataFrame) -> DataFrame:
     drop(first)
     matched = _verified(pairs, distinct)
 
-    unmatched = prefix.join(matched.hint("merge"), "s", "left_anti")
-    met = each_word(unmatched).alias("a").join(every.alias("b").hint("merge"), "word")
+    unmatched = keep(prefix.join(matched.hint("merge"), "s", "left_anti"), "unmatched")
+    found = [_met_in_slice(unmatched, prefix, part) for part in range(SLICES)]
+    drop(prefix, unmatched)
+    pairs = keep(functools.reduce(DataFrame.union, found).distinct(), "pairs")
+    drop(*found)
+    return matched.union(_verified(pairs, distinct)).distinct()
+
+
+def _met_in_slice(later: DataFrame, prefix: DataFrame, part: int) -> DataFrame:
+    """Pairs ``s``, ``t`` of a line of ``later`` and any before it that meet at a word of the slice."""
+    a, b = (
+        each_word(df).where(F.pmod(F.col("word"), F.lit(SLICES)) == part) for df in (later, prefix)
+    )
+    met = a.alias("a").join(b.alias("b").hint("merge"), "word")
     near = met.where((F.col("b.s") < F.col("a.s")) & _may_match("a", "b"))
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
-    pairs = keep(pairs.distinct(), "pairs")
-    drop(prefix)
-    return matched.union(_verified(pairs, distinct)).distinct()
+    return keep(pairs.distinct(), "slice-pairs")
 
 
 def dedup_lines(
@@ -223,9 +250,9 @@ def dedup_lines(
     rows are never dropped. A null text stays null, with no lines. The id must be
     a whole number. Other columns stay; any named like a new one is replaced.
     """
-    docs = without(docs, LINES, REMOVED, "_hl_none", "_hl_id", "_hl_key", "_hl_gone")
+    docs = without(docs, LINES, REMOVED, "_hl_none", "_hl_id", "_hl_key", "_hl_gone", "_hl_lines")
     texts = _texts(docs, id_col, text_col)
-    distinct = keep(distinct_lines(lines(texts)), "distinct-lines")
+    distinct = distinct_lines(lines(texts))
     matched = matched_lines(distinct)
     fate = keep(
         distinct.select("s", "k1", "k2", "first").join(
@@ -254,14 +281,15 @@ def dedup_lines(
             "_hl_key": F.xxhash64(F.coalesce(text_col, F.lit(""))),
         }
     ).join(gone.hint("merge"), ["_hl_none", "_hl_id", "_hl_key"], "left")
-    found = F.split(F.col(text_col), LINE)
-    every = F.sequence(F.lit(0), F.size(found) - 1)
+    # One row from one: named within a function of an element, the text would be split for each.
+    held = held.select("*", F.explode(F.array(F.split(F.col(text_col), LINE))).alias("_hl_lines"))
+    every = F.sequence(F.lit(0), F.size("_hl_lines") - 1)
     stay = F.transform(
-        F.array_except(every, F.col("_hl_gone")), lambda p: F.element_at(found, p + 1)
+        F.array_except(every, F.col("_hl_gone")), lambda p: F.element_at("_hl_lines", p + 1)
     )
     text = F.when(F.col("_hl_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stay, LINE))
     return held.select(
         *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(found)).alias(LINES),
+        F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_hl_lines")).alias(LINES),
         F.coalesce(F.size("_hl_gone"), F.lit(0)).alias(REMOVED),
     )

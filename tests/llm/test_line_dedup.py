@@ -101,3 +101,28 @@ def test_prefixes_are_stored_as_one_row_a_line(spark):
     ]
     each = line_dedup.each_word(prefix).where("s = 0").orderBy("i").collect()
     assert [r.i for r in each] == [0, 1, 2] and sorted(r.word for r in each) == [r.word for r in each]
+
+
+def test_long_bitmaps_keep_matches_and_drop_others(spark):
+    base = [f"w{k}" for k in range(300)]
+    lines = [" ".join(base), " ".join(base[:-30] + [f"x{k}" for k in range(30)]), " ".join(f"o{k}" for k in range(300))]
+    held = spark.createDataFrame(list(enumerate(lines)), "s long, line string")
+    prefix = {r.s: r.bits for r in line_dedup.prefixes(held, line_dedup.bucket_classes(held)).collect()}
+    assert (prefix[0] ^ prefix[2]).bit_count() <= 300 + 300 - 2 * 267
+    pairs = spark.createDataFrame([(1, 0), (2, 0), (2, 1)], "s long, t long")
+    assert [(r.s, r.t) for r in line_dedup._close(pairs, held).collect()] == [(1, 0)]
+
+
+def test_text_is_stored_before_lines_are_shuffled_by_place(spark):
+    found = line_dedup.lines(line_dedup._texts(docs(spark, [(1, "b a\nc"), (0, "c\nb a d")]), "doc_id", "text"))
+    distinct = line_dedup.distinct_lines(found)
+    assert "Exchange" not in distinct._jdf.queryExecution().executedPlan().toString()
+    assert [r.line for r in distinct.orderBy("s").collect()] == ["c", "b a d", "b a"]
+
+
+def test_slices_of_prefix_words_make_all_pairs(spark):
+    rows = [(0, 4, 7, [2, 3]), (1, 4, 7, [2, 9]), (2, 4, 7, [5, 3]), (3, 4, 7, [8])]
+    prefix = spark.createDataFrame(rows, "s long, n int, bits long, words array<long>")
+    made = [line_dedup._met_in_slice(prefix, prefix, k).collect() for k in range(line_dedup.SLICES)]
+    assert sorted({(r.s, r.t) for part in made for r in part}) == [(1, 0)]
+    assert all(line_dedup.SLICES > 1 and len(part) <= 1 for part in made)
