@@ -5,12 +5,17 @@ of their sets is at least 4/5, and a line goes if any line before it matches, in
 order of document id and place, whether that line stays or not.
 
 Equal lines are counted once, at their first place. The words of a line are
-ordered by rarity, and lines that match share one of their rarest words (their
-prefixes). Pairs that meet there are cut by length, by the place of the shared word
-and by bitmaps of the words (all never lose a match), then verified on the words themselves. First each line is held against the
-first line that has the same prefix word: of a large group of near copies nearly
+ordered by rarity, and each is taken together with the next one (the last with an
+end). Of two lines with n and m words, c of them common, each word that is not common
+parts one such pair of neighbours at most, so they share 3c - n - m of them or more;
+and lines that match share one of their first 2/5 n + 1 (their prefixes). A single
+word is shared by ever more lines as they become more; two rare words that are also
+neighbours hardly are, but in near copies. Lines that meet there are cut by length, by
+the place of the shared neighbours and by bitmaps of the words (all never lose a match),
+then verified on the words themselves. First each line is held against the
+first line that has the same neighbours: of a large group of near copies nearly
 all find a match there, without pairs among them. Those that found none are then
-held against all earlier lines with the same prefix word.
+held against all earlier lines with the same neighbours.
 
 Rarity is the number of words in different lines that fall into a bucket of
 hashes. The number of buckets is fixed, so the constant that goes to all tasks
@@ -22,7 +27,7 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestline.llm.common import drop, keep, without
@@ -30,13 +35,14 @@ from harvestline.llm.common import drop, keep, without
 PART, WHOLE = 4, 5  # the least similarity, as a fraction
 BUCKETS = 1 << 17
 CLASS_BITS = 6
-CLASSES, STEPS, FIRST_LETTER = 1 << CLASS_BITS, 3, 33
-SPACE = r"[\x20\x09-\x0D]+"
+CLASSES, STEPS = 1 << CLASS_BITS, 3
+SPACES, BLANK = "\t\x0b\x0c\r", " "
 LINE = "\n"
 PLACE = ("none", "id", "pos")
 LINES, REMOVED = "n_lines", "n_removed"
 LONGS = 4  # of 64 bits each, in the bitmaps that are held against pairs
-SLICES = 2  # of the prefix words, joined one after the other to hold less on disk at once
+SLICES = 2  # of the prefixes, joined one after the other to hold less on disk at once
+END = -1  # no code of a word is negative
 
 
 def ceil_div(a: Column, b: int) -> Column:
@@ -44,8 +50,8 @@ def ceil_div(a: Column, b: int) -> Column:
 
 
 def words(line: Column) -> Column:
-    """Different words of a lower-case line."""
-    return F.array_distinct(F.array_remove(F.split(line, SPACE), ""))
+    """Different words of a line of ``lines``, which has blanks for any other white space."""
+    return F.array_distinct(F.array_remove(F.split(line, BLANK), ""))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -59,10 +65,15 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def lines(texts: DataFrame) -> DataFrame:
-    """All lines with words, lower-case: their place and a hash of 128 bits."""
-    each = texts.select("none", "id", "doc_key", F.posexplode(F.split("text", LINE)))
-    lowered = each.select("none", "id", "doc_key", "pos", F.lower("col").alias("line"))
-    return lowered.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumns(
+    """All lines with words, lower-case, white space as blanks: their place and a hash of 128 bits."""
+    blanks = F.col("text")
+    for space in SPACES:
+        blanks = F.replace(blanks, F.lit(space), F.lit(BLANK))
+    other = functools.reduce(Column.__or__, [F.contains("text", F.lit(space)) for space in SPACES])
+    plain = F.when(other, blanks).otherwise(F.col("text"))
+    each = texts.select("none", "id", "doc_key", F.posexplode(F.split(plain, LINE)))
+    each = each.select("none", "id", "doc_key", "pos", F.lower("col").alias("line"))
+    return each.where(F.trim("line") != "").withColumns(
         {"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(1), F.col("line"))}
     )
 
@@ -81,22 +92,23 @@ def distinct_lines(found: DataFrame) -> DataFrame:
 
 
 def bucket_classes(distinct: DataFrame) -> Column:
-    """How common the words of every bucket of word hashes are, a letter a bucket.
+    """How common the words of every bucket of word hashes are, a class a bucket.
 
-    A constant of ``BUCKETS`` bytes; the counts, one a bucket, pass through the driver.
-    Letters rise with the logarithm of the count.
+    A constant array of ``BUCKETS`` numbers; the counts, one a bucket, pass through the driver.
+    Classes rise with the logarithm of the count.
     """
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1))
-    each = distinct.select(F.explode(F.split("line", SPACE)).alias("w"))
+    each = distinct.select(F.explode(F.split("line", BLANK)).alias("w"))
     found = each.groupBy(bucket.alias("b")).count().toArrow()
     counts = np.zeros(BUCKETS)
     counts[found["b"].to_numpy()] = found["count"].to_numpy()
-    classes = np.minimum(CLASSES - 1, STEPS * np.log2(1 + counts)).astype(np.uint8) + FIRST_LETTER
-    return F.lit(classes.tobytes())
+    classes = np.minimum(CLASSES - 1, STEPS * np.log2(1 + counts)).astype(int)
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
 
 
 def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
-    """The rarest words of each line, in order: ``s``, ``words``, and of all its words the
+    """The rarest words of each line, in order: ``s``, ``words``, the rarest pairs of words next
+    to each other in that order, ``lower`` and ``upper``, and of all its words the
     number ``n`` and the bitmap, of which every word flips one bit.
 
     A word stands for itself by its hash, the class of its bucket in front, so that
@@ -105,8 +117,7 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
 
     def code(hashed: Column) -> Column:
         bucket = hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-        letter = F.substr(classes, bucket + 1, F.lit(1)).cast("string")
-        class_ = (F.ascii(letter) - FIRST_LETTER).cast("long")
+        class_ = F.get(classes, bucket).cast("long")
         return F.shiftleft(class_, 63 - CLASS_BITS).bitwiseOR(
             F.shiftrightunsigned(hashed, CLASS_BITS + 1)
         )
@@ -117,7 +128,7 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
             F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
         )
 
-    hashes = F.array_distinct(F.transform(F.split("line", SPACE), lambda w: F.xxhash64(w)))
+    hashes = F.array_distinct(F.transform(F.split("line", BLANK), lambda w: F.xxhash64(w)))
     hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))
     coded = distinct.select(
         # One row from one: the codes are used several times and made once.
@@ -126,34 +137,61 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     )
     n = F.size("codes")
     kept = n - ceil_div(n * PART, WHOLE) + 1
+    paired = F.call_function("div", n * (2 * (WHOLE - PART)), F.lit(WHOLE)).cast("int") + 1
+    ended = F.concat("codes", F.array(F.lit(END).cast("long")))
     return coded.select(
         "s",
         n.alias("n"),
         F.aggregate("codes", F.lit(0).cast("long"), flip).alias("bits"),
         F.slice("codes", F.lit(1), kept).alias("words"),
+        F.slice("codes", F.lit(1), paired).alias("lower"),
+        F.slice(ended, F.lit(2), paired).alias("upper"),
     )
 
 
+def neighbours(prefix: DataFrame) -> DataFrame:
+    """The lines with a hash of every pair of neighbours in the place of their prefix words."""
+    both = F.zip_with("lower", "upper", lambda a, b: F.xxhash64(a, b))
+    return prefix.select("s", "n", "bits", both.alias("words"))
+
+
 def each_word(prefix: DataFrame) -> DataFrame:
-    """A row for each word of the prefixes: ``word``, its place ``i``, the line.
+    """A row for each word of the prefixes (or hash of neighbours): ``word``, its place ``i``, the line.
 
-    About ten a line, so they are made where they are joined and stored nowhere.
+    About twenty a line, so they are made where they are joined; a table that has only
+    some of them, as rows, is taken as it is.
     """
+    if "words" not in prefix.columns:
+        return prefix.select("s", "n", "bits", "i", "word", "before")
     return prefix.select("s", "n", "bits", F.posexplode("words").alias("i", "word"))
 
 
+def _in_slice(prefix: DataFrame, part: int) -> DataFrame:
+    return each_word(prefix).where(F.pmod(F.col("word"), F.lit(SLICES)) == part)
+
+
 def _may_match(a: str, b: str) -> Column:
-    """Length, positional and bitmap filters for two lines that meet at a prefix word.
+    """Length and bitmap filters for two lines that meet.
 
     Lines that match differ in at most so many words, and each differing bit takes
     a word that differs: words of both flip the same bit in both.
     """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    needed = ceil_div((n + m) * PART, PART + WHOLE)
     alike = F.least(n, m) * WHOLE >= F.greatest(n, m) * PART
-    place = F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i")) >= needed
     differ = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return alike & place & (differ <= n + m - 2 * needed)
+    return alike & (differ <= n + m - 2 * _needed(n, m))
+
+
+def _needed(n: Column, m: Column) -> Column:
+    """Words that lines of ``n`` and ``m`` words that match have in common at least."""
+    return ceil_div((n + m) * PART, PART + WHOLE)
+
+
+def _in_place(a: str, b: str) -> Column:
+    """Whether enough neighbours may be shared from here on; so it is where the first ones meet."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    left = F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i"))
+    return left >= 3 * _needed(n, m) - n - m
 
 
 def _close(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -177,7 +215,7 @@ def _close(pairs: DataFrame, held: DataFrame) -> DataFrame:
     differ = sum(
         F.bit_count(F.col("a.bits")[k].bitwiseXOR(F.col("b.bits")[k])) for k in range(LONGS)
     )
-    close = both.where(differ <= n + m - 2 * ceil_div((n + m) * PART, PART + WHOLE))
+    close = both.where(differ <= n + m - 2 * _needed(n, m))
     close = keep(close.select("s", "t"), "close-pairs")
     drop(marks)
     return close
@@ -204,37 +242,60 @@ def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 def matched_lines(distinct: DataFrame) -> DataFrame:
     """Lines ``s`` that match another line whose first place is earlier."""
-    prefix = keep(prefixes(distinct, bucket_classes(distinct)), "prefixes")
-    every = each_word(prefix)
-    first = keep(
-        every.groupBy("word")
-        .agg(F.min(F.struct("s", "n", "i", "bits")).alias("b"), F.count("*").alias("lines"))
-        .where("lines > 1")
-        .select("word", "b"),
-        "first-lines",
-    )
-    met = every.alias("a").join(first.hint("merge"), "word")
-    near = met.where((F.col("a.s") != F.col("b.s")) & _may_match("a", "b"))
-    pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
-    pairs = keep(pairs.distinct(), "first-pairs")
-    drop(first)
+    prefix = keep(neighbours(prefixes(distinct, bucket_classes(distinct))), "prefixes")
+    shared = [_shared_in_slice(prefix, part) for part in range(SLICES)]
+    drop(prefix)
+    every = functools.reduce(DataFrame.union, shared)
+    pairs = keep(every.where("near").select("s", F.col("first").alias("t")).distinct(), "first-pairs")
     matched = _verified(pairs, distinct)
 
-    unmatched = keep(prefix.join(matched.hint("merge"), "s", "left_anti"), "unmatched")
-    found = [_met_in_slice(unmatched, prefix, part) for part in range(SLICES)]
-    drop(prefix, unmatched)
+    # The first line has been held against all others that it meets here.
+    others = _with_before(every.where("lines > 2 AND s <> first"))
+    unmatched = keep(others.join(matched.hint("merge"), "s", "left_anti"), "unmatched")
+    found = [_met_in_slice(unmatched, others, part) for part in range(SLICES)]
+    drop(unmatched, others, *shared)
     pairs = keep(functools.reduce(DataFrame.union, found).distinct(), "pairs")
     drop(*found)
     return matched.union(_verified(pairs, distinct)).distinct()
 
 
+def _shared_in_slice(prefix: DataFrame, part: int) -> DataFrame:
+    """Rows of ``each_word`` whose word other lines have too, with the ``first`` of these ``lines``.
+
+    ``near`` says whether a line may match the first one.
+    """
+    every = _in_slice(prefix, part)
+    first = every.groupBy("word").agg(F.min("s").alias("first"), F.count("*").alias("lines"))
+    first = keep(first.where("lines > 1"), "first-lines")
+    of_first = prefix.select(F.col("s").alias("first"), "n", "bits")
+    known = first.join(of_first.hint("merge"), "first")
+    met = every.alias("a").join(known.alias("b").hint("merge"), "word")
+    near = (F.col("s") != F.col("first")) & _may_match("a", "b")
+    shared = met.select("word", "s", "i", "a.n", "a.bits", "first", "lines", near.alias("near"))
+    shared = keep(shared, "shared")
+    drop(first)
+    return shared
+
+
+def _with_before(rows: DataFrame) -> DataFrame:
+    """The rows of ``each_word`` with the word ``before``, of the same line.
+
+    Lines that share a stretch of neighbours meet where it begins; after that, both have
+    the same word before.
+    """
+    line = Window.partitionBy("s").orderBy("i")
+    rows = rows.withColumn("before", F.lag("word").over(line))
+    return keep(rows.select("s", "n", "bits", "i", "word", "before"), "others")
+
+
 def _met_in_slice(later: DataFrame, prefix: DataFrame, part: int) -> DataFrame:
     """Pairs ``s``, ``t`` of a line of ``later`` and any before it that meet at a word of the slice."""
-    a, b = (
-        each_word(df).where(F.pmod(F.col("word"), F.lit(SLICES)) == part) for df in (later, prefix)
-    )
+    a, b = _in_slice(later, part), _in_slice(prefix, part)
     met = a.alias("a").join(b.alias("b").hint("merge"), "word")
-    near = met.where((F.col("b.s") < F.col("a.s")) & _may_match("a", "b"))
+    near = (F.col("b.s") < F.col("a.s")) & _may_match("a", "b") & _in_place("a", "b")
+    if "before" in a.columns:
+        near &= F.coalesce(F.col("a.before") != F.col("b.before"), F.lit(True))
+    near = met.where(near)
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
     return keep(pairs.distinct(), "slice-pairs")
 

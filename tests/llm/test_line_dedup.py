@@ -126,3 +126,43 @@ def test_slices_of_prefix_words_make_all_pairs(spark):
     made = [line_dedup._met_in_slice(prefix, prefix, k).collect() for k in range(line_dedup.SLICES)]
     assert sorted({(r.s, r.t) for part in made for r in part}) == [(1, 0)]
     assert all(line_dedup.SLICES > 1 and len(part) <= 1 for part in made)
+
+
+def test_candidates_do_not_grow_with_common_words(spark, monkeypatch):
+    rng = random.Random(7)
+    lines = [" ".join(rng.sample([f"v{k}" for k in range(6000)], 150)) for _ in range(160)]
+    asked = []
+
+    def counted(pairs, distinct, verified=line_dedup._verified):
+        asked.append(pairs.count())
+        return verified(pairs, distinct)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    edited = lines[3].split()[:140] + [f"x{k}" for k in range(10)]
+    got = check(spark, list(enumerate([*lines, " ".join(edited)])))
+    assert [r[0] for r in got if r[3]] == ["160"]
+    assert 1 <= sum(asked) < len(lines) ** 2 / 20
+
+
+def test_lines_at_the_threshold_meet(spark):
+    rng = random.Random(11)
+    vocabulary = [f"u{k}" for k in range(60)]
+    made = []
+    for n in [*range(1, 24), 40, 45, 50]:
+        for _ in range(6):
+            own = rng.sample(vocabulary, n)
+            less = rng.randint(0, n // 5)
+            left = rng.sample(own, n - less)
+            most = max(k for k in range(n) if 5 * len(left) >= 4 * (n + k)) if 5 * len(left) >= 4 * n else 0
+            made += [own, left + [f"n{rng.randrange(10**6)}" for _ in range(rng.choice([most, most + 1]))]]
+    rows = [(i, "\t ".join(words) + "\r") for i, words in enumerate(made)]
+    got = check(spark, rows)
+    assert sum(r[3] for r in got) > 60
+
+
+def test_stretches_of_neighbours_meet_where_they_begin(spark):
+    rows = [(0, [7, 8, 9]), (1, [7, 8, 9]), (2, [6, 8, 9]), (3, [8, 5, 9])]
+    prefix = spark.createDataFrame([(s, 50, 0, words) for s, words in rows], "s long, n int, bits long, words array<long>")
+    met = line_dedup._with_before(line_dedup.each_word(prefix))
+    found = [r for k in range(line_dedup.SLICES) for r in line_dedup._met_in_slice(met, met, k).collect()]
+    assert sorted((r.s, r.t) for r in found) == [(1, 0), (2, 0), (2, 1), (3, 0), (3, 0), (3, 1), (3, 1), (3, 2), (3, 2)]
