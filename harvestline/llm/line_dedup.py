@@ -41,7 +41,7 @@ LINE = "\n"
 PLACE = ("none", "id", "pos")
 LINES, REMOVED = "n_lines", "n_removed"
 LONGS = 4  # of 64 bits each, in the bitmaps that are held against pairs
-SLICES = 2  # of the prefixes, joined one after the other to hold less on disk at once
+SLICES = 3  # of the prefixes, joined one after the other to hold less on disk at once
 END = -1  # no code of a word is negative
 
 
@@ -109,7 +109,8 @@ def bucket_classes(distinct: DataFrame) -> Column:
 def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     """The rarest words of each line, in order: ``s``, ``words``, the rarest pairs of words next
     to each other in that order, ``lower`` and ``upper``, and of all its words the
-    number ``n`` and the bitmap, of which every word flips one bit.
+    number ``n`` and the bitmap, of which every word flips one bit. ``half`` are the bits flipped
+    by every second word: it and what it leaves of ``bits`` are a bitmap of twice the length.
 
     A word stands for itself by its hash, the class of its bucket in front, so that
     the order of the numbers is that of rarity.
@@ -128,6 +129,12 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
             F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
         )
 
+    def flip_half(bits: Column, c: Column) -> Column:
+        second = F.shiftright(c, 6).bitwiseAND(F.lit(1))
+        return bits.bitwiseXOR(
+            F.call_function("shiftleft", second, c.bitwiseAND(F.lit(63)).cast("int"))
+        )
+
     hashes = F.array_distinct(F.transform(F.split("line", BLANK), lambda w: F.xxhash64(w)))
     hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))
     coded = distinct.select(
@@ -143,6 +150,7 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
         "s",
         n.alias("n"),
         F.aggregate("codes", F.lit(0).cast("long"), flip).alias("bits"),
+        F.aggregate("codes", F.lit(0).cast("long"), flip_half).alias("half"),
         F.slice("codes", F.lit(1), kept).alias("words"),
         F.slice("codes", F.lit(1), paired).alias("lower"),
         F.slice(ended, F.lit(2), paired).alias("upper"),
@@ -152,7 +160,7 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
 def neighbours(prefix: DataFrame) -> DataFrame:
     """The lines with a hash of every pair of neighbours in the place of their prefix words."""
     both = F.zip_with("lower", "upper", lambda a, b: F.xxhash64(a, b))
-    return prefix.select("s", "n", "bits", both.alias("words"))
+    return prefix.select("s", "n", "bits", "half", both.alias("words"))
 
 
 def each_word(prefix: DataFrame) -> DataFrame:
@@ -162,7 +170,7 @@ def each_word(prefix: DataFrame) -> DataFrame:
     some of them, as rows, is taken as it is.
     """
     if "words" not in prefix.columns:
-        return prefix.select("s", "n", "bits", "i", "word", "before")
+        return prefix.select("s", "n", "bits", "i", "word", "before", "half")
     return prefix.select("s", "n", "bits", F.posexplode("words").alias("i", "word"))
 
 
@@ -188,10 +196,13 @@ def _needed(n: Column, m: Column) -> Column:
 
 
 def _in_place(a: str, b: str) -> Column:
-    """Whether enough neighbours may be shared from here on; so it is where the first ones meet."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    left = F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i"))
-    return left >= 3 * _needed(n, m) - n - m
+    """Whether enough words may be in common, if these are the first neighbours that two lines share.
+
+    Between any two common words before them is a word that is not common, in one line or the
+    other, so that of the words before at most a third of both are common.
+    """
+    n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.i"), F.col(f"{b}.i")
+    return i + j >= 3 * (_needed(n, m) - F.least(n - i, m - j))
 
 
 def _close(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -244,16 +255,14 @@ def matched_lines(distinct: DataFrame) -> DataFrame:
     """Lines ``s`` that match another line whose first place is earlier."""
     prefix = keep(neighbours(prefixes(distinct, bucket_classes(distinct))), "prefixes")
     shared = [_shared_in_slice(prefix, part) for part in range(SLICES)]
-    drop(prefix)
     every = functools.reduce(DataFrame.union, shared)
     pairs = keep(every.where("near").select("s", F.col("first").alias("t")).distinct(), "first-pairs")
     matched = _verified(pairs, distinct)
 
     # The first line has been held against all others that it meets here.
-    others = _with_before(every.where("lines > 2 AND s <> first"))
-    unmatched = keep(others.join(matched.hint("merge"), "s", "left_anti"), "unmatched")
-    found = [_met_in_slice(unmatched, others, part) for part in range(SLICES)]
-    drop(unmatched, others, *shared)
+    others = _with_before(every.where("lines > 2 AND s <> first"), matched, prefix)
+    found = [_met_in_slice(others.where("NOT matched"), others, part) for part in range(SLICES)]
+    drop(prefix, others, *shared)
     pairs = keep(functools.reduce(DataFrame.union, found).distinct(), "pairs")
     drop(*found)
     return matched.union(_verified(pairs, distinct)).distinct()
@@ -277,15 +286,36 @@ def _shared_in_slice(prefix: DataFrame, part: int) -> DataFrame:
     return shared
 
 
-def _with_before(rows: DataFrame) -> DataFrame:
-    """The rows of ``each_word`` with the word ``before``, of the same line.
+def _halves_close() -> Column:
+    """The bitmap filter, with the bitmaps of twice the length."""
+    n, m = F.col("a.n"), F.col("b.n")
+    half = F.col("a.half").bitwiseXOR(F.col("b.half"))
+    rest = half.bitwiseXOR(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
+    return F.bit_count(half) + F.bit_count(rest) <= n + m - 2 * _needed(n, m)
+
+
+def _with_before(rows: DataFrame, matched: DataFrame, prefix: DataFrame) -> DataFrame:
+    """The rows of ``each_word`` with the word ``before`` and the ``half`` of the same line, and
+    if it is ``matched``.
 
     Lines that share a stretch of neighbours meet where it begins; after that, both have
     the same word before.
     """
+    halves = prefix.select("s", F.lit(-2).alias("i"), "half")
+    marks = matched.select("s", F.lit(-1).alias("i"))
+    both = rows.select("s", "n", "bits", "i", "word")
+    for of_line in (halves, marks):
+        both = both.unionByName(of_line, allowMissingColumns=True)
     line = Window.partitionBy("s").orderBy("i")
-    rows = rows.withColumn("before", F.lag("word").over(line))
-    return keep(rows.select("s", "n", "bits", "i", "word", "before"), "others")
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumns(
+        {
+            "before": F.lag("word").over(line),
+            "half": F.first("half").over(so_far),
+            "matched": F.max(F.col("i") == -1).over(so_far),
+        }
+    )
+    return keep(both.where("i >= 0"), "others")
 
 
 def _met_in_slice(later: DataFrame, prefix: DataFrame, part: int) -> DataFrame:
@@ -294,7 +324,7 @@ def _met_in_slice(later: DataFrame, prefix: DataFrame, part: int) -> DataFrame:
     met = a.alias("a").join(b.alias("b").hint("merge"), "word")
     near = (F.col("b.s") < F.col("a.s")) & _may_match("a", "b") & _in_place("a", "b")
     if "before" in a.columns:
-        near &= F.coalesce(F.col("a.before") != F.col("b.before"), F.lit(True))
+        near &= F.coalesce(F.col("a.before") != F.col("b.before"), F.lit(True)) & _halves_close()
     near = met.where(near)
     pairs = near.select(F.col("a.s").alias("s"), F.col("b.s").alias("t"))
     return keep(pairs.distinct(), "slice-pairs")

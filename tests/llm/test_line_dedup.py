@@ -163,6 +163,7 @@ def test_lines_at_the_threshold_meet(spark):
 def test_stretches_of_neighbours_meet_where_they_begin(spark):
     rows = [(0, [7, 8, 9]), (1, [7, 8, 9]), (2, [6, 8, 9]), (3, [8, 5, 9])]
     prefix = spark.createDataFrame([(s, 50, 0, words) for s, words in rows], "s long, n int, bits long, words array<long>")
-    met = line_dedup._with_before(line_dedup.each_word(prefix))
+    met = line_dedup._with_before(line_dedup.each_word(prefix), prefix.where("s = 1").select("s"), prefix.withColumn("half", F.lit(0).cast("long")))
+    assert {r.s for r in met.where("matched").collect()} == {1}
     found = [r for k in range(line_dedup.SLICES) for r in line_dedup._met_in_slice(met, met, k).collect()]
     assert sorted((r.s, r.t) for r in found) == [(1, 0), (2, 0), (2, 1), (3, 0), (3, 0), (3, 1), (3, 1), (3, 2), (3, 2)]
