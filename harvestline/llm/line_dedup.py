@@ -71,17 +71,21 @@ def lines(texts: DataFrame) -> DataFrame:
         blanks = F.replace(blanks, F.lit(space), F.lit(BLANK))
     other = functools.reduce(Column.__or__, [F.contains("text", F.lit(space)) for space in SPACES])
     plain = F.when(other, blanks).otherwise(F.col("text"))
-    each = texts.select("none", "id", "doc_key", F.posexplode(F.split(plain, LINE)))
-    each = each.select("none", "id", "doc_key", "pos", F.lower("col").alias("line"))
+    # Lowered as a whole: no letter's lower case depends on what is beyond a line feed.
+    each = texts.select(
+        "none", "id", "doc_key", F.posexplode(F.split(F.lower(plain), LINE)).alias("pos", "line")
+    )
     return each.where(F.trim("line") != "").withColumns(
         {"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(1), F.col("line"))}
     )
 
 
 def distinct_lines(found: DataFrame) -> DataFrame:
-    """Different lines, numbered ``s`` in order of their first place."""
+    """Different lines, numbered ``s`` in order of their first place, and how many ``times`` they occur."""
     grouped = found.groupBy("k1", "k2").agg(
-        F.min(F.struct(*PLACE)).alias("first"), F.any_value("line").alias("line")
+        F.min(F.struct(*PLACE)).alias("first"),
+        F.any_value("line").alias("line"),
+        F.count("*").alias("times"),
     )
     # Stored first: the shuffles by hash and by place would both hold every line at once.
     grouped = keep(grouped, "grouped-lines")
@@ -97,7 +101,7 @@ def bucket_classes(distinct: DataFrame) -> Column:
     A constant array of ``BUCKETS`` numbers; the counts, one a bucket, pass through the driver.
     Classes rise with the logarithm of the count.
     """
-    bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1))
+    bucket = F.hash("w").bitwiseAND(F.lit(BUCKETS - 1))
     each = distinct.select(F.explode(F.split("line", BLANK)).alias("w"))
     found = each.groupBy(bucket.alias("b")).count().toArrow()
     counts = np.zeros(BUCKETS)
@@ -108,7 +112,7 @@ def bucket_classes(distinct: DataFrame) -> Column:
 
 def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     """The rarest words of each line, in order: ``s``, ``words``, the rarest pairs of words next
-    to each other in that order, ``lower`` and ``upper``, and of all its words the
+    to each other in that order as a ``chain`` of words, and of all its words the
     number ``n`` and the bitmap, of which every word flips one bit. ``half`` are the bits flipped
     by every second word: it and what it leaves of ``bits`` are a bitmap of twice the length.
 
@@ -116,11 +120,11 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
     the order of the numbers is that of rarity.
     """
 
-    def code(hashed: Column) -> Column:
-        bucket = hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-        class_ = F.get(classes, bucket).cast("long")
-        return F.shiftleft(class_, 63 - CLASS_BITS).bitwiseOR(
-            F.shiftrightunsigned(hashed, CLASS_BITS + 1)
+    def code(word: Column) -> Column:
+        # Never null, so that codes are sorted as plain numbers.
+        class_ = F.coalesce(F.get(classes, F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))), F.lit(0))
+        return F.shiftleft(class_.cast("long"), 63 - CLASS_BITS).bitwiseOR(
+            F.shiftrightunsigned(F.xxhash64(word), CLASS_BITS + 1)
         )
 
     def flip(bits: Column, c: Column) -> Column:
@@ -135,12 +139,16 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
             F.call_function("shiftleft", second, c.bitwiseAND(F.lit(63)).cast("int"))
         )
 
-    hashes = F.array_distinct(F.transform(F.split("line", BLANK), lambda w: F.xxhash64(w)))
-    hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))
+    # Blanks in a row leave empty words, which only a few lines have to look for.
+    split = F.split("line", BLANK)
+    full = F.when(
+        F.startswith("line", F.lit(BLANK)) | F.endswith("line", F.lit(BLANK)) | F.contains("line", F.lit(2 * BLANK)),
+        F.array_remove(split, ""),
+    ).otherwise(split)
     coded = distinct.select(
         # One row from one: the codes are used several times and made once.
         "s",
-        F.explode(F.array(F.sort_array(F.array_distinct(F.transform(hashes, code))))).alias("codes"),
+        F.explode(F.array(F.array_distinct(F.sort_array(F.transform(full, code))))).alias("codes"),
     )
     n = F.size("codes")
     kept = n - ceil_div(n * PART, WHOLE) + 1
@@ -152,15 +160,13 @@ def prefixes(distinct: DataFrame, classes: Column) -> DataFrame:
         F.aggregate("codes", F.lit(0).cast("long"), flip).alias("bits"),
         F.aggregate("codes", F.lit(0).cast("long"), flip_half).alias("half"),
         F.slice("codes", F.lit(1), kept).alias("words"),
-        F.slice("codes", F.lit(1), paired).alias("lower"),
-        F.slice(ended, F.lit(2), paired).alias("upper"),
+        F.slice(ended, F.lit(1), paired + 1).alias("chain"),
     )
 
 
 def neighbours(prefix: DataFrame) -> DataFrame:
-    """The lines with a hash of every pair of neighbours in the place of their prefix words."""
-    both = F.zip_with("lower", "upper", lambda a, b: F.xxhash64(a, b))
-    return prefix.select("s", "n", "bits", "half", both.alias("words"))
+    """The lines with the chain of their neighbours in the place of their prefix words."""
+    return prefix.select("s", "n", "bits", "half", "chain")
 
 
 def each_word(prefix: DataFrame) -> DataFrame:
@@ -169,9 +175,15 @@ def each_word(prefix: DataFrame) -> DataFrame:
     About twenty a line, so they are made where they are joined; a table that has only
     some of them, as rows, is taken as it is.
     """
-    if "words" not in prefix.columns:
+    if "words" in prefix.columns:
+        return prefix.select("s", "n", "bits", F.posexplode("words").alias("i", "word"))
+    if "chain" not in prefix.columns:
         return prefix.select("s", "n", "bits", "i", "word", "before", "half")
-    return prefix.select("s", "n", "bits", F.posexplode("words").alias("i", "word"))
+    # Hashed here, in rows: Spark compiles that, but not functions of elements.
+    rarer = F.slice("chain", F.lit(1), F.size("chain") - 1)
+    each = prefix.select("s", "n", "bits", "chain", F.posexplode(rarer).alias("i", "rarer"))
+    both = F.xxhash64("rarer", F.get("chain", F.col("i") + 1))
+    return each.select("s", "n", "bits", "i", both.alias("word"))
 
 
 def _in_slice(prefix: DataFrame, part: int) -> DataFrame:
@@ -235,7 +247,8 @@ def _close(pairs: DataFrame, held: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     """Lines ``s`` of the pairs ``s``, ``t`` that are similar enough."""
     asked = keep(pairs.select("s").union(pairs.select("t")).distinct(), "asked")
-    held = distinct.select("s", "line").join(asked.hint("merge"), "s", "left_semi")
+    # Held by hash, as each id is there once: the texts of all lines need not be sorted.
+    held = distinct.select("s", "line").join(asked.hint("shuffle_hash"), "s", "left_semi")
     held = keep(held.withColumn("n", F.size(words(F.col("line")))), "asked-lines")
     close = _close(pairs, held)
     other = held.select(F.col("s").alias("t"), F.col("line").alias("other"), F.col("n").alias("m"))
@@ -255,21 +268,23 @@ def matched_lines(distinct: DataFrame) -> DataFrame:
     """Lines ``s`` that match another line whose first place is earlier."""
     prefix = keep(neighbours(prefixes(distinct, bucket_classes(distinct))), "prefixes")
     shared = [_shared_in_slice(prefix, part) for part in range(SLICES)]
+    halves = keep(prefix.select("s", "half"), "halves")
+    drop(prefix)  # before the texts of all lines are shuffled
     every = functools.reduce(DataFrame.union, shared)
     pairs = keep(every.where("near").select("s", F.col("first").alias("t")).distinct(), "first-pairs")
     matched = _verified(pairs, distinct)
 
     # The first line has been held against all others that it meets here.
-    others = _with_before(every.where("lines > 2 AND s <> first"), matched, prefix)
+    others = _with_before(every.where("lines > 2"), matched, halves)
     found = [_met_in_slice(others.where("NOT matched"), others, part) for part in range(SLICES)]
-    drop(prefix, others, *shared)
+    drop(halves, others, *shared)
     pairs = keep(functools.reduce(DataFrame.union, found).distinct(), "pairs")
     drop(*found)
     return matched.union(_verified(pairs, distinct)).distinct()
 
 
 def _shared_in_slice(prefix: DataFrame, part: int) -> DataFrame:
-    """Rows of ``each_word`` whose word other lines have too, with the ``first`` of these ``lines``.
+    """Rows of ``each_word`` whose word an earlier line has too, with the ``first`` of these ``lines``.
 
     ``near`` says whether a line may match the first one.
     """
@@ -278,9 +293,10 @@ def _shared_in_slice(prefix: DataFrame, part: int) -> DataFrame:
     first = keep(first.where("lines > 1"), "first-lines")
     of_first = prefix.select(F.col("s").alias("first"), "n", "bits")
     known = first.join(of_first.hint("merge"), "first")
-    met = every.alias("a").join(known.alias("b").hint("merge"), "word")
-    near = (F.col("s") != F.col("first")) & _may_match("a", "b")
-    shared = met.select("word", "s", "i", "a.n", "a.bits", "first", "lines", near.alias("near"))
+    # Held by hash, as each word is there once: the rows of all lines need not be sorted.
+    met = every.alias("a").join(known.alias("b").hint("shuffle_hash"), "word")
+    near = _may_match("a", "b")
+    shared = met.where(F.col("s") != F.col("first")).select("word", "s", "i", "a.n", "a.bits", "first", "lines", near.alias("near"))
     shared = keep(shared, "shared")
     drop(first)
     return shared
@@ -345,17 +361,16 @@ def dedup_lines(
     texts = _texts(docs, id_col, text_col)
     distinct = distinct_lines(lines(texts))
     matched = matched_lines(distinct)
-    fate = keep(
-        distinct.select("s", "k1", "k2", "first").join(
-            matched.withColumn("matched", F.lit(True)).hint("merge"), "s", "left"
-        ),
-        "fate",
+    fate = distinct.select("s", "k1", "k2", "first", "times").join(
+        matched.withColumn("matched", F.lit(True)).hint("merge"), "s", "left"
     )
+    # A line that occurs once and matches none before it stays wherever it is.
+    fate = keep(fate.where("matched OR times > 1").drop("s", "times"), "fate")
     drop(distinct)
     gone = (
         lines(texts)
         .drop("line")
-        .join(fate.hint("merge"), ["k1", "k2"])
+        .join(fate.hint("shuffle_hash"), ["k1", "k2"])
         .where((F.struct(*PLACE) > F.col("first")) | F.col("matched"))
         .groupBy("none", "id", "doc_key")
         .agg(F.collect_set("pos").alias("_hl_gone"))

@@ -167,3 +167,69 @@ def test_stretches_of_neighbours_meet_where_they_begin(spark):
     assert {r.s for r in met.where("matched").collect()} == {1}
     found = [r for k in range(line_dedup.SLICES) for r in line_dedup._met_in_slice(met, met, k).collect()]
     assert sorted((r.s, r.t) for r in found) == [(1, 0), (2, 0), (2, 1), (3, 0), (3, 0), (3, 1), (3, 1), (3, 2), (3, 2)]
+
+
+def stages_seen(monkeypatch):
+    """Names of the tables kept and dropped, in order."""
+    seen = []
+
+    def kept(frame, name, keep=line_dedup.keep):
+        made = keep(frame, name)
+        made.named = name
+        seen.append(("keep", name))
+        return made
+
+    def dropped(*frames, drop=line_dedup.drop):
+        seen.extend(("drop", frame.named) for frame in frames)
+        drop(*frames)
+
+    monkeypatch.setattr(line_dedup, "keep", kept)
+    monkeypatch.setattr(line_dedup, "drop", dropped)
+    return seen
+
+
+def test_prefixes_are_gone_before_texts_are_shuffled(spark, monkeypatch):
+    seen = stages_seen(monkeypatch)
+    check(spark, near_copies(random.Random(3), 20))
+    assert seen.index(("drop", "prefixes")) < seen.index(("keep", "asked-lines"))
+
+
+def test_texts_and_keys_of_all_lines_are_not_sorted_for_joins(spark, monkeypatch):
+    plans = {}
+
+    def kept(frame, name, keep=line_dedup.keep):
+        plans[name] = frame._jdf.queryExecution().executedPlan().toString()
+        return keep(frame, name)
+
+    monkeypatch.setattr(line_dedup, "keep", kept)
+    check(spark, near_copies(random.Random(4), 20))
+    for name, sorted_ in [("asked-lines", "s#"), ("shared", "word#"), ("removed-lines", "k1#")]:
+        assert "ShuffledHashJoin" in plans[name] and f"SortMergeJoin [{sorted_}" not in plans[name]
+
+
+def test_fate_holds_lines_that_may_go_alone(spark, monkeypatch):
+    fates = []
+
+    def kept(frame, name, keep=line_dedup.keep):
+        made = keep(frame, name)
+        if name == "fate":
+            fates.append(made.count())
+        return made
+
+    monkeypatch.setattr(line_dedup, "keep", kept)
+    check(spark, [(1, "a b c\nonly here"), (2, "a b c\nhere alone, once"), (3, "p q r s t"), (4, "p q r s t u")])
+    assert fates == [2]
+
+
+def test_codes_are_plain_numbers_and_blanks_are_no_words(spark):
+    distinct = spark.createDataFrame([(0, "  a  b "), (1, "b a"), (2, "b b a a")], "s long, line string")
+    prefix = line_dedup.prefixes(distinct, line_dedup.bucket_classes(distinct))
+    assert prefix.schema["chain"].dataType.containsNull is False
+    got = [(r.n, r.bits, r.half, r.words, r.chain) for r in prefix.orderBy("s").collect()]
+    assert got[0][0] == 2 and got[0] == got[1] == got[2]
+    pairs = line_dedup.each_word(line_dedup.neighbours(prefix)).orderBy("s", "i").collect()
+    assert len({r.word for r in pairs}) == len(pairs) / 3
+
+
+def test_lower_case_ends_with_the_line(spark):
+    check(spark, [(1, "\u039f\u03a3\n\u0391 x"), (2, "\u03bf\u03c2\n\u0130 y"), (3, "\u039f\u03a3\u0391 z\n\u039f\u03a3")])
